@@ -68,12 +68,18 @@ class Context:
 
     @cached_property
     def days(self) -> CloseDays:
-        return CloseDays.from_calendars(self["w01_working_day"], self["w02_ccworking_day"])
+        days = CloseDays.from_calendars(self["w01_working_day"], self["w02_ccworking_day"])
+        return days.resolved(self.bank.spark)
 
     @cached_property
     def hot(self) -> HotKeys:
         return HotKeys.find(self.t17, "customer_number")
 
+    @cached_property
+    def outputs(self) -> dict[str, DataFrame]:
+        """All outputs of one daily close."""
+        return plans.daily_close(self.close(), _run_at())
+
     def close(self, mode: str = "observed") -> plans.Close:
         return plans.Close.of(self.bank, self.days, mode, self.hot)
 
@@ -722,24 +728,21 @@ _ctes, _last = _extend(*_engine_steps(_formulas), _late)
 add("w3_account_formulas", CLOSE_COLUMNS, lambda c: plans.account_formulas(c.t17, c.close()),
     [T17, *CLOSE_TABLES], _last, _ctes)
 _ctes, _last = _extend(*_engine_steps([q.carry_forward, *_formulas]), _late)
-add("w2_daily_close", CLOSE_COLUMNS + " p_working_day", lambda c: _daily(c)["accounts"],
+add("w2_daily_close", CLOSE_COLUMNS + " p_working_day", lambda c: c.outputs["accounts"],
     [T17, *CLOSE_TABLES], _last, _ctes)
-add("w2_daily_close_history", _columns_of(SNAPSHOT), lambda c: _daily(c)["t17_dpd_credit_cards"],
+add("w2_daily_close_history", _columns_of(SNAPSHOT), lambda c: c.outputs["t17_dpd_credit_cards"],
     [T17, *CLOSE_TABLES], _snapshot_sql(_last), _ctes)
 add("w2_daily_close_events", "customer_number account_id default_trigger_id event_start_date default_event_id probation_end_date",
-    lambda c: _daily(c)["t19_default_events"], [T17, *CLOSE_TABLES],
+    lambda c: c.outputs["t19_default_events"], [T17, *CLOSE_TABLES],
     "select customer_number, account_id, default_trigger_id, event_start_date, null as default_event_id, null as probation_end_date from t19_default_events "
     f"where not (event_start_date = {q.CC} and substring(account_id, 1, 2) = 'CC' and length(account_id) = 26 and substring(account_id, 12, 2) in ('18', '19')) "
     f"union all select customer_number, account_id, default_trigger_id, event_start_date, default_event_id, probation_end_date from ({q.event_rows(_last)}) n", _ctes)
-add("w2_daily_close_register", REGISTER, lambda c: _daily(c)["t02_customer_product"],
+add("w2_daily_close_register", REGISTER, lambda c: c.outputs["t02_customer_product"],
     [T17, *CLOSE_TABLES], _register_sql(False, _last), _ctes)
 _unwound, _rows = _extend(_ctes, _last, [q.unwinding_rows, *q.UNWINDING])
-add("w2_daily_close_unwinding", UNWINDING_ROW, lambda c: _daily(c)["t14_unwinding"],
+add("w2_daily_close_unwinding", UNWINDING_ROW, lambda c: c.outputs["t14_unwinding"],
     [T17, *CLOSE_TABLES], _rows, _unwound)
 _unwound, _rows = _extend([], T17, [q.unwinding_rows, *q.UNWINDING])
 add("w5_unwinding", UNWINDING_ROW, lambda c: plans.unwinding_close(c.t17, c.close()),
     [T17, "t14_unwinding", *UNWINDING_TABLES], _rows, _unwound)
 
-
-def _daily(c: Context) -> dict[str, DataFrame]:
-    return plans.daily_close(c.close(), _run_at())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DAY = "working_day"
@@ -56,6 +56,20 @@ class CloseDays:
         asof = min(bank, card_day) if asof_day is None else asof_day
         return cls(F.lit(card_day), F.lit(bank), F.lit(asof), F.lit(previous_day))
 
+    def resolved(self, spark: SparkSession) -> CloseDays:
+        """The same days as plain values, read as one row.
+
+        A long chain of steps that names the days often is then planned faster,
+        and day partitions are chosen when the query is planned.
+        """
+        row = spark.range(1).select(
+            self.card_day.alias("card"),
+            self.bank_day.alias("bank"),
+            self.asof_day.alias("asof"),
+            self.previous_day.alias("previous"),
+        ).first()
+        return CloseDays(*[F.lit(value) for value in row])
+
     @property
     def next_day(self) -> Column:
         return F.date_add(self.card_day, 1)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -242,13 +244,10 @@ def trigger_defaults_steps(
 ) -> DataFrame:
     """All triggers at once: one status change, reasons appended in order."""
     hits = {f"_hit{i}": trigger_hit(t) for i, t in enumerate(triggers)}
-    df = df.withColumns(hits)
-    any_hit = F.lit(False)
-    parts = [F.col("default_reason")]
-    for name, trigger in zip(hits, triggers):
-        any_hit = any_hit | F.col(name)
-        parts.append(F.when(F.col(name), f",{trigger.reason}").otherwise(""))
-    changed = update_where(df, any_hit, new_default(F.concat(*parts), days.next_month))
+    reasons = [F.when(F.col(n), f",{t.reason}").otherwise("") for n, t in zip(hits, triggers)]
+    reason = F.concat(F.col("default_reason"), *reasons)
+    any_hit = reduce(or_, [F.col(name) for name in hits])
+    changed = update_where(df.withColumns(hits), any_hit, new_default(reason, days.next_month))
     return changed.drop(*hits)
 
 
@@ -335,16 +334,16 @@ def default_detection(
     All product lookups come first, then all customer lookups, so accounts are
     shuffled once per key.
     """
-    df = attach_detection(accounts, technical, events, days)
+    df = attach_detection(accounts, accounts, technical, events, days)
     df = attach_customer_detection(df, technical, events, days, hot)
     df = inputs.attach_customers(df, customers, columns=[], hot=hot)
     df = inputs.attach_master(df, t01, ["default_indicator"], hot)
     return detection_steps(df, tc08, days, mode).select(*accounts.columns)
 
 
-def attach_detection(accounts, technical, events, days: CloseDays) -> DataFrame:
-    """Product-level lookups of the detection."""
-    df = attach(accounts, product_events(events, days), "id_product", "trig_product")
+def attach_detection(df, accounts, technical, events, days: CloseDays) -> DataFrame:
+    """Product-level lookups of the detection; ``accounts`` gives the keys and days."""
+    df = attach(df, product_events(events, days), "id_product", "trig_product")
     for trigger in (t for t in TRIGGERS if t.when == ROW_DAY):
         df = attach(df, row_day_products(accounts, events, trigger), "id_product", "trig_row_product")
     return attach(df, technical_products(technical, days), "id_product", "tech_product_key")

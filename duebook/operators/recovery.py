@@ -24,14 +24,15 @@ def attach_movements(accounts: DataFrame, t26: DataFrame, days: CloseDays) -> Da
     return attach(accounts, sums, "id_product", "_moved")
 
 
-def daily_payment() -> Column:
+def daily_payment(df: DataFrame) -> DataFrame:
     """Fall of the overdue amount that movements do not explain; may be negative."""
     paid = F.col("p_amount_past_due") - F.col("amount_past_due")
-    return F.when(paid > 0, paid - zero_if_null("sum_amount_event")).otherwise(0)
+    value = F.when(paid > 0, paid - zero_if_null("sum_amount_event")).otherwise(0)
+    return df.withColumn("daily_payment", value).drop("sum_amount_event")
 
 
 def monthly_recovery_steps(df: DataFrame) -> DataFrame:
-    df = df.withColumn("daily_payment", daily_payment())
+    """Payments of the month so far: all, in default, and beyond recovery."""
     today = F.col("daily_payment")
     restart = first_of_month(F.col("p_working_day"))
     flag = F.col("absorbing_status_flag").cast("string")
@@ -58,5 +59,4 @@ def monthly_recovery_steps(df: DataFrame) -> DataFrame:
 
 
 def monthly_recovery(accounts: DataFrame, t26: DataFrame, days: CloseDays) -> DataFrame:
-    df = attach_movements(accounts, t26, days)
-    return monthly_recovery_steps(df).drop("sum_amount_event")
+    return monthly_recovery_steps(daily_payment(attach_movements(accounts, t26, days)))

@@ -34,6 +34,12 @@ def gross_carrying_amount(accounts: DataFrame, t22: DataFrame, days: CloseDays)
     return joined.select("id_product", carrying_amount().alias("gca"))
 
 
+def value_accounts(df: DataFrame) -> DataFrame:
+    """``gca`` of accounts that carry the as-of balance; its inputs are dropped."""
+    valued = df.withColumn("gca", carrying_amount().cast("double"))
+    return valued.drop("asof_ledger_balance", "asof_account_code", "asof_unamortized_fee")
+
+
 def interest_steps(df: DataFrame) -> DataFrame:
     day = F.col("working_day").cast("date")
     return df.withColumns(

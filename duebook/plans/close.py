@@ -66,6 +66,7 @@ class Close:
         check_mode(mode)
         if days is None:
             days = CloseDays.from_calendars(tables["w01_working_day"], tables["w02_ccworking_day"])
+            days = days.resolved(tables[ACCOUNTS].sparkSession)
         if hot is None:
             hot = HotKeys.find(tables[ACCOUNTS], "customer_number")
         return cls(tables, days, mode, hot, keep)
@@ -80,21 +81,34 @@ def joint_counters(accounts: DataFrame, joint: DataFrame) -> DataFrame:
     hot = HotKeys.find(members, "joint_id")
     loans = one_row_per_key(joint, "joint_id", ["dpd_ho"], "joint_")
     found = attach(members, loans, "joint_id", "joint_key", "id_product", hot)
-    return one_row_per_key(found, "id_product", ["joint_dpd_ho"], "")
+    return one_row_per_key(found, "id_product", ["joint_dpd_ho"], "").drop("found")
 
 
-def attach_by_product(accounts: DataFrame, close: Close) -> DataFrame:
+def by_product(accounts: DataFrame) -> DataFrame:
+    """Accounts shuffled by product; the joins by product then leave them in place."""
+    return accounts.repartition("id_product")
+
+
+def attach_by_product(df: DataFrame, accounts: DataFrame, close: Close) -> DataFrame:
+    """Everything keyed by product.  Values that depend on nothing later are
+    computed at once, so that fewer columns travel on.
+
+    ``accounts`` are the accounts as stored, for lookups that need a few of
+    their columns.
+    """
     tables, days = close.tables, close.days
-    df = inputs.attach_balances(accounts, tables["t22_card_balance"], days.bank_day)
+    df = inputs.attach_balances(df, tables["t22_card_balance"], days.bank_day)
     df = inputs.attach_balances(
         df, tables["t22_card_balance"], days.asof_day, inputs.ASOF_COLUMNS, "asof_"
     )
-    joint = joint_counters(accounts, tables["atmp_joint_dpd"]).drop("found")
-    df = attach(df, joint.withColumnRenamed("key", "_joined"), "id_product", "_joined")
+    df = valuation.value_accounts(df)
+    joint = joint_counters(accounts, tables["atmp_joint_dpd"])
+    df = attach(df, joint, "id_product", "key")
     df = default.attach_detection(
-        df, tables["technical_default"], tables["atmp_default_triggers"], days
+        df, accounts, tables["technical_default"], tables["atmp_default_triggers"], days
     )
     df = recovery.attach_movements(df, tables["t26_writteoff_recovery"], days)
+    df = recovery.daily_payment(df)
     return unwinding.attach_allowance(df, tables["vw_unwinding"])
 
 
@@ -144,9 +158,7 @@ def contagion_and_attributes(df: DataFrame, close: Close) -> DataFrame:
 
 
 def closing_steps(df: DataFrame, close: Close) -> DataFrame:
-    df = delinquency.eba_status(recovery.monthly_recovery_steps(df))
-    df = df.withColumn("gca", valuation.carrying_amount().cast("double"))
-    return valuation.interest_steps(df)
+    return delinquency.eba_status(recovery.monthly_recovery_steps(df))
 
 
 # --- compositions -------------------------------------------------------------
@@ -169,19 +181,24 @@ COMPUTED_LATE = (
 
 def default_engine(accounts: DataFrame, close: Close) -> DataFrame:
     """Detection, probation, contagion and attributes of a default."""
-    df = attach_by_customer(attach_by_product(accounts, close), close)
+    df = attach_by_customer(attach_by_product(by_product(accounts), accounts, close), close)
     df = close.keep(detection_and_probation(df, close), "before-contagion")
     return contagion_and_attributes(df, close).select(*accounts.columns)
 
 
-def account_formulas(accounts: DataFrame, close: Close, lookups: bool = False) -> DataFrame:
-    """Everything computed per account; with ``lookups`` also what the outputs need."""
-    df = attach_by_customer(attach_by_product(accounts, close), close)
+def account_formulas(accounts: DataFrame, close: Close) -> DataFrame:
+    """Everything computed per account."""
+    df = _formulas(by_product(accounts), accounts, close)
+    return df.select(*_columns(accounts, df))
+
+
+def _formulas(df: DataFrame, accounts: DataFrame, close: Close) -> DataFrame:
+    df = valuation.interest_steps(attach_by_product(df, accounts, close))
+    df = attach_by_customer(df, close)
     df = attach_settings_and_rates(delinquency.refresh_segment(df), close)
     df = detection_and_probation(delinquency_steps(df, close), close)
     df = close.keep(df, "before-contagion")
-    df = closing_steps(contagion_and_attributes(df, close), close)
-    return df.select(*_columns(accounts, df, *(KEPT_LOOKUPS if lookups else ())))
+    return closing_steps(contagion_and_attributes(df, close), close)
 
 
 def unwinding_close(accounts: DataFrame, close: Close) -> DataFrame:
@@ -209,8 +226,10 @@ def daily_close(close: Close, run_at: Column | None = None) -> dict[str, DataFra
     """
     tables, days = close.tables, close.days
     run_at = F.current_timestamp() if run_at is None else run_at
-    carried = carry_forward.carry_forward(tables[ACCOUNTS], tables[HISTORY], days)
-    closed = close.keep(account_formulas(carried, close, lookups=True), "closed-accounts")
+    stored = tables[ACCOUNTS]
+    carried = carry_forward.carry_forward(by_product(stored), tables[HISTORY], days)
+    closed = _formulas(carried, stored, close)
+    closed = close.keep(closed.select(*_columns(stored, closed, *KEPT_LOOKUPS)), "closed-accounts")
     accounts = closed.drop(*KEPT_LOOKUPS)
     event_rows = events.default_events(accounts, tables["tc_default_reason"], days)
     register_rows = registers.product_register_source(closed)

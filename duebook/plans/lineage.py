@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,14 +21,35 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+WIDE_ROWS = {"spark.sql.codegen.maxFields": "1000"}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the jobs started inside."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once and read back.
 
     Results derived from it do not recompute what came before, read only the
-    columns they need, and survive the loss of executors.
+    columns they need, and survive the loss of executors.  Accounts have more
+    columns than Spark compiles into one loop by default, so that limit is raised.
     """
     spark = df.sparkSession
     app = spark.sparkContext.applicationId
     path = f"{shared_folder(spark)}/{app}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with settings(spark, WIDE_ROWS):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
