@@ -108,7 +108,9 @@ class Query:
 
     def oracle(self) -> str:
         ctes = [with_clause("w01_working_day", "w02_ccworking_day", *self.tables), q.DAYS]
-        ctes += [f"{name} as ({text})" for name, text in self.ctes]
+        # long chains name earlier steps several times: work each step out once
+        kept = "materialized " if len(self.ctes) > 12 else ""
+        ctes += [f"{name} as {kept}({text})" for name, text in self.ctes]
         shown = []
         for name, kind in self.spec():
             value = f"cast({name} as {SQL_TYPES[kind]})"
@@ -429,11 +431,11 @@ for _number, (_name, _step) in enumerate(q.TRIGGERS.items()):
     add_steps(_name, STATUS,
               lambda c, t=default.TRIGGERS[_number]: default.trigger_defaults(
                   c.t17, c["atmp_default_triggers"], c["atmp_customer"], c.days, [t], c.hot),
-              ["atmp_default_triggers", "atmp_customer"], [_step])
+              ["atmp_default_triggers", "atmp_customer"], _step)
 add_steps("d22_d31_all_triggers", STATUS,
           lambda c: default.trigger_defaults(
               c.t17, c["atmp_default_triggers"], c["atmp_customer"], c.days, hot=c.hot),
-          ["atmp_default_triggers", "atmp_customer"], list(q.TRIGGERS.values()))
+          ["atmp_default_triggers", "atmp_customer"], q.ALL_TRIGGERS)
 for _suffix, _mode in (("", "observed"), ("_intended", INTENDED)):
     add_steps(f"d32_customer_default{_suffix}", "id_product default_indicator default_reason",
               lambda c, m=_mode: default.customer_default(c.t17, c["t01_customer"], m, c.hot),

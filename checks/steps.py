@@ -305,10 +305,15 @@ def trigger(reason, flag, key, rule, single=False, distressed=False):
     if distressed:
         hit += " and t.customer_number in (select nrp_customer from atmp_customer where retail_nonretail = 'RETAIL' and has_product = '1' and max_dpd > 60)"
 
-    def step(p):
-        return update(p, where(hit, defaulted(f"t.default_reason || ',{reason}'")))
+    def mark(p):
+        return f"select t.*, ({hit}) as triggered from {p} t"
 
-    return step
+    def apply(p):
+        return update(p, where("t.triggered", defaulted(f"t.default_reason || ',{reason}'"))).replace(
+            "select t.* replace", "select t.* exclude (triggered) replace", 1
+        )
+
+    return [mark, apply]
 
 
 TRIGGERS = {
@@ -349,7 +354,8 @@ def unique_reasons(p):
     return update(p, {"default_reason": value})
 
 
-DETECTION = [*TECHNICAL, initial, dpd_default(), *TRIGGERS.values(), customer_default(), unique_reasons]
+ALL_TRIGGERS = [step for block in TRIGGERS.values() for step in block]
+DETECTION = [*TECHNICAL, initial, dpd_default(), *ALL_TRIGGERS, customer_default(), unique_reasons]
 
 
 # --- probation ----------------------------------------------------------------------
