@@ -581,7 +581,7 @@ add_steps("d57_original_currency", T14_KEY + " unwinding_daily_ocy:r unwinding_m
 # --- registers ------------------------------------------------------------------------------------------------
 
 NEW_CUSTOMERS = f"select {{}} customer_number as nrp_customer from {T17} where customer_number not in (select nrp_customer from t01_customer)"
-add("d58_new_customers", "nrp_customer", lambda c: registers.new_customers(c.t17, c["t01_customer"]),
+add("d58_new_customers", "nrp_customer", lambda c: registers.new_customers(c.t17, c["t01_customer"], hot=c.hot),
     [T17, "t01_customer"], NEW_CUSTOMERS.format(""))
 add("d58_new_customers_intended", "nrp_customer",
     lambda c: registers.new_customers(c.t17, c["t01_customer"], INTENDED), [T17, "t01_customer"],

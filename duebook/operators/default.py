@@ -217,7 +217,7 @@ def attach_row_day_events(df: DataFrame, events: DataFrame, trigger: Trigger) ->
 def row_day_products(accounts: DataFrame, events: DataFrame, trigger: Trigger) -> DataFrame:
     """The same as a lookup by product, which needs no extra shuffle of the accounts."""
     keys = accounts.select("id_product", F.col(DAY))
-    happened = events.filter(is_one(trigger.flag)).select("id_product", DAY)
+    happened = events.filter(is_one(trigger.flag)).select("id_product", DAY).distinct()
     products = happened.join(keys, ["id_product", DAY], "left_semi")
     return (
         products.select(F.col("id_product").alias("trig_row_product"))

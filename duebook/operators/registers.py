@@ -13,15 +13,22 @@ from duebook.plans.lookups import HotKeys, attach, attach_small, missing_from, o
 from duebook.plans.update import update_where, upsert
 
 
-def new_customers(accounts: DataFrame, t01: DataFrame, mode: str = OBSERVED) -> DataFrame:
+def new_customers(
+    accounts: DataFrame, t01: DataFrame, mode: str = OBSERVED, hot: HotKeys | None = None
+) -> DataFrame:
     """Customers of accounts that the master lacks.
 
     Observed: one row per account.  Intended: one row per customer.
     """
-    customers = accounts.select(F.col("customer_number").alias("nrp_customer"))
+    key = F.col("nrp_customer")
     if not check_mode(mode):
-        customers = customers.distinct()
-    return missing_from(customers, t01, F.col("nrp_customer"), F.col("nrp_customer"))
+        customers = accounts.select(F.col("customer_number").alias("nrp_customer")).distinct()
+        return missing_from(customers, t01, key, key)
+    known = one_row_per_key(t01, "nrp_customer", [], "known_")
+    rows = accounts.select("customer_number", *(["id_product"] if hot else []))
+    joined = attach(rows, known, "customer_number", "known_key", "id_product", hot)
+    fresh = joined.filter(F.col("known_found").isNull())
+    return fresh.select(F.col("customer_number").alias("nrp_customer"))
 
 
 def new_product_types(accounts: DataFrame, types: DataFrame) -> DataFrame:

@@ -150,8 +150,9 @@ def detection_and_probation(df: DataFrame, close: Close) -> DataFrame:
 
 
 def contagion_and_attributes(df: DataFrame, close: Close) -> DataFrame:
-    """``df`` is an intermediate table: it is read for the sources and again for the rows."""
-    hot = close.hot.renamed("bal_customer_number") if close.hot else None
+    """``df`` is an intermediate table: it is read for the frequent customers, for
+    the sources and again for the rows."""
+    hot = HotKeys.find(df, "bal_customer_number")
     sources = contagion.default_sources(df)
     df = contagion.contagion_steps(df, sources, close.days, close.mode, hot)
     return attributes.default_attributes_steps(df, close.mode)
