@@ -36,7 +36,7 @@ from duebook.operators import (
     valuation,
 )
 from duebook.plans import close as plans
-from duebook.plans.lookups import HotKeys, missing_from, one_row_per_key
+from duebook.plans.lookups import HotKeys, missing_from
 from duebook.plans.update import (
     conform,
     merge_columns,
