@@ -11,11 +11,24 @@ from pyspark.sql import functions as F
 
 from duebook.llm.common import Scratch
 from duebook.llm.line_dedup import line_dedup
+from duebook.llm.packing import pack
+from duebook.llm.quality import quality_filter
 from duebook.llm.simhash import simhash_dedup
+from duebook.llm.toxicity import toxicity_filter
 
 ORACLE_SQL = None
 
 
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity models do not reject."""
+    return toxicity_filter(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    return quality_filter(docs)
+
+
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated passages; a document of which nothing is left goes."""
     left = line_dedup(docs).where((F.col("lines_removed") == 0) | (F.col("text") != ""))
@@ -28,9 +41,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash_dedup(docs, size=3, distance=3)
 
 
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The places of all pieces of the documents left."""
+    return pack(docs)
+
+
 STAGES = [
+    ("toxicity", toxic),
+    ("quality rules", low_quality),
     ("line dedup", repeated_lines),
     ("near duplicates", near_duplicates),
+    ("best-fit packing", packed),
 ]
 
 

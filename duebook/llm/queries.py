@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import sql
+from .common import Scratch
 from .line_dedup import line_dedup
+from .packing import pack
+from .quality import base_failed, features, fit_quality, kept
 from .simhash import as_hex, simhash_groups
+from .toxicity import HELD_OUT, REJECT, fit_toxicity, fold
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +25,32 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(docs)
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    counted = Scratch(spark).cut(docs.select("doc_id", features(F.col("text")).alias("features")))
+    model, x = fit_quality(counted), F.col("features")
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return counted.select(
+        "doc_id", *(x[c].alias(c) for c in names), base_failed(x).alias("base_failed"), kept(model, x).alias("kept"),
+        model.posterior(x).alias("posterior"),
+    )
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_read(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, _read(spark, sf_dir, "labels"))
+    scored = docs.select(
+        "doc_id",
+        F.coalesce(fold(F.col("doc_id")) == HELD_OUT, F.lit(False)).alias("held_out"),
+        model.score(F.col("text")).alias("score"),
+    )
+    return scored.withColumn("predicted", (F.col("score") >= REJECT).cast("int"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(_read(spark, sf_dir, "documents"))
     return groups.select("doc_id", as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
@@ -28,6 +58,9 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_quality_rules": op2_quality_rules,
+    "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_toxicity": op4_toxicity,
     "op9_simhash": op9_simhash,
 }
 
