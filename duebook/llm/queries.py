@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import sql
 from .common import Scratch
+from .embedding import embedding_groups
 from .line_dedup import line_dedup
 from .packing import pack
 from .quality import base_failed, features, fit_quality, kept
@@ -51,6 +52,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= REJECT).cast("int"))
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_groups(_read(spark, sf_dir, "embeddings"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(_read(spark, sf_dir, "documents"))
     return groups.select("doc_id", as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_toxicity": op4_toxicity,
+    "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op9_simhash": op9_simhash,
 }
 
