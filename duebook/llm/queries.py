@@ -15,6 +15,7 @@ from .packing import pack
 from .quality import base_failed, features, fit_quality, kept
 from .simhash import as_hex, simhash_groups
 from .toxicity import HELD_OUT, REJECT, fit_toxicity, fold
+from .url_filter import host_and_path, url_filter
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +62,16 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page shows the document that its path names, so that document's quality
+    label is the page's outcome."""
+    pages = _read(spark, sf_dir, "pages").select("page_id", "url")
+    marked = _read(spark, sf_dir, "labels").where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("good"))
+    shown = F.regexp_extract(host_and_path(F.col("url"))[1], r"^/[^/]*/([0-9]+)", 1)
+    outcomes = pages.select("url", shown.try_cast("long").alias("doc_id")).join(marked, "doc_id", "left")
+    return url_filter(pages, outcomes.select("url", "good"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -68,8 +79,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op9_simhash": op9_simhash,
+    "op10_url_filters": op10_url_filters,
 }
 
 SQL: dict[str, str] = {
     "op1_line_dedup": sql.LINE_DEDUP,
+    "op10_url_filters": sql.URL_FILTER,
 }

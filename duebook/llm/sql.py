@@ -37,3 +37,62 @@ SELECT d.doc_id,
        coalesce(counted.n, 0) AS lines_removed
 FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN counted USING (doc_id)
 """
+
+UPPER, LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
+
+
+def _shrunk(name: str, groups: str, key: str) -> str:
+    return f"""
+{name}_rho AS (
+  SELECT greatest(0.001, least(0.9, coalesce(
+    sum(CASE WHEN n > 0 THEN n * power(good::DOUBLE / n - above, 2) - above * (1 - above) END)
+    / nullif(sum(CASE WHEN n > 0 THEN above * (1 - above) * (n - 1) END), 0), 0.001))) AS rho
+  FROM {groups}
+), {name} AS (
+  SELECT {key}, ((1 / rho - 1) * above + good) / (1 / rho - 1 + n) AS mean, 1 / rho - 1 + n AS strength
+  FROM {groups}, {name}_rho
+)"""
+
+
+URL_FILTER = f"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+), parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), {UPPER}, {LOWER}) AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut
+), outcomes AS (
+  SELECT p.host, l.quality AS good FROM parts p
+  LEFT JOIN (SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY doc_id) l
+    ON try_cast(regexp_extract(p.path, '^/[^/]*/([0-9]+)', 1) AS BIGINT) = l.doc_id
+), hosts AS (
+  SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain,
+         coalesce(sum(good), 0) AS good, count(good) AS n
+  FROM outcomes GROUP BY host
+), domains AS (
+  SELECT domain, string_split(domain, '.')[-1] AS suffix, sum(good) AS good, sum(n) AS n FROM hosts GROUP BY domain
+), suffixes AS (
+  SELECT suffix, sum(good) AS good, sum(n) AS n FROM domains GROUP BY suffix
+), suffix_in AS (
+  SELECT *, (SELECT (sum(good) + 1.0) / (sum(n) + 2) FROM suffixes)::DOUBLE AS above FROM suffixes
+), {_shrunk('by_suffix', 'suffix_in', 'suffix')}, domain_in AS (
+  SELECT d.*, s.mean AS above FROM domains d JOIN by_suffix s USING (suffix)
+), {_shrunk('by_domain', 'domain_in', 'domain')}, host_in AS (
+  SELECT h.*, d.mean AS above FROM hosts h JOIN by_domain d USING (domain)
+), {_shrunk('by_host', 'host_in', 'host')}, bounds AS (
+  SELECT host, mean - 1.28 * sqrt(mean * (1 - mean) / (strength + 1)) AS bound FROM by_host
+), rules(verdict, h, p) AS (
+  VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+         ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), ruled AS (
+  SELECT a.host, a.path, arg_max(r.h || r.p, length(r.h || r.p)) AS rule,
+         arg_max(r.verdict, length(r.h || r.p)) AS says
+  FROM (SELECT DISTINCT host, path FROM parts) a JOIN rules r
+    ON (a.host = r.h OR ends_with(a.host, '.' || r.h)) AND starts_with(a.path, r.p)
+  GROUP BY a.host, a.path
+)
+SELECT p.page_id, p.host, p.path, u.rule,
+       coalesce(u.says, CASE WHEN b.bound >= 0.5 THEN 'allow' ELSE 'block' END) AS verdict
+FROM parts p JOIN bounds b USING (host) LEFT JOIN ruled u USING (host, path)
+"""
