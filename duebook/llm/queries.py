@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from . import sql
 from .common import Scratch
 from .embedding import embedding_groups
+from .html_text import main_text
 from .line_dedup import line_dedup
 from .packing import pack
 from .quality import base_failed, features, fit_quality, kept
@@ -57,6 +58,10 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_groups(_read(spark, sf_dir, "embeddings"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(_read(spark, sf_dir, "pages"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(_read(spark, sf_dir, "documents"))
     return groups.select("doc_id", as_hex(F.col("fingerprint")).alias("fingerprint"), "component_id")
@@ -78,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_toxicity": op4_toxicity,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
+    "op8_html_text": op8_html_text,
     "op9_simhash": op9_simhash,
     "op10_url_filters": op10_url_filters,
 }
