@@ -146,19 +146,18 @@ def blocks(page: str | None) -> Iterator[tuple[str, bool, bool, str]]:
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, token, place, text length, count) of each distinct token of a page."""
+    """Each distinct token of a page, with its count and the length of the text
+    blocks of which it is the parent."""
     for batch in batches:
         out: list[tuple] = []
         for host, key, page in zip(*(batch[c].to_pylist() for c in ("host", "key", "html")), strict=True):
             counts: Counter = Counter()
-            for place, dropped, main, text in blocks(page):
-                counts[(place, "" if dropped or main else text, len(text) if not dropped else 0)] += 1
-            merged: Counter = Counter()
             size: Counter = Counter()
-            for (place, text, n), k in counts.items():
-                merged[(place, text)] += k
-                size[(place, text)] += n * k
-            out += [(host, key, place, text, size[(place, text)], k) for (place, text), k in merged.items()]
+            for place, dropped, main, text in blocks(page):
+                counts[(place, "" if dropped or main else text)] += not (text and (dropped or main))
+                if text and not dropped:
+                    size[(place.rpartition("/")[0], "")] += len(text)
+            out += [(host, key, *token, size[token], n) for token, n in counts.items() if n]
         columns = list(zip(*out, strict=True)) if out else [()] * 6
         kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["host", "key", "place", "text", "size", "n"])
