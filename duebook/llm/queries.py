@@ -17,6 +17,7 @@ from .quality import base_failed, features, fit_quality, kept
 from .simhash import as_hex, simhash_groups
 from .toxicity import HELD_OUT, REJECT, fit_toxicity, fold
 from .url_filter import host_and_path, url_filter
+from .warc import resolve_revisits
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +59,44 @@ def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_groups(_read(spark, sf_dir, "embeddings"))
 
 
+def captures(pages: DataFrame) -> DataFrame:
+    """Four captures of each page: a full response, then revisits and responses whose
+    validators follow from the page's number; some pages have a revisit before all."""
+    p, k = F.col("page_id"), F.col("k")
+    tag = F.concat(F.lit('"'), F.md5(F.coalesce("html", F.lit(""))), F.lit('"'))
+    full = (k == 0) | ((k == 2) & (p % 3 == 0))
+    body = F.when(k == 0, F.col("html")).otherwise(F.concat("html", F.lit("<!-- 2 -->")))
+    first = F.concat(F.lit("Mon, 01 Jan 2024 00:00:"), F.lpad((p % 60).cast("string"), 2, "0"), F.lit(" GMT"))
+    etag = F.when(k == 0, tag).when((k == 1) & (p % 5 == 0), '"other"').when(k == 1, tag).when(k >= 3, F.concat(F.lit("W/"), tag))
+    changed = F.when(k == 0, first).when((k == 2) & ((p % 2 == 0) | full), first)
+    headers = F.map_filter(
+        F.create_map(
+            F.lit("etag"), etag, F.lit("last-modified"), changed,
+            F.lit("cache-control"), F.when(k > 0, F.concat(F.lit("max-age="), k.cast("string"))).otherwise("no-cache"),
+            F.lit("content-type"), F.when(full, "text/html").otherwise("text/plain"),
+            F.lit("server"), F.when(full, "origin"),
+        ),
+        lambda _, v: v.isNotNull(),
+    )
+    rows = pages.select("page_id", "url", "html", F.explode(F.when(p % 11 == 0, F.expr("array(0, 1, 2, 3, -1)")).otherwise(F.expr("array(0, 1, 2, 3)"))).alias("k"))
+    return rows.select(
+        F.concat(F.lit("urn:"), p.cast("string"), F.lit(":"), k.cast("string")).alias("record_id"),
+        F.when(full, "response").otherwise("revisit").alias("warc_type"),
+        "url",
+        F.timestamp_seconds(F.lit(1704067200) + (p % 1000) * 60 + k * 86400).alias("date"),
+        F.when(full, 200).otherwise(304).alias("status"),
+        headers.alias("headers"),
+        F.when(full, F.md5(body)).alias("payload_md5"),
+        F.when(full, F.length(body).cast("long")).alias("payload_chars"),
+    )
+
+
+def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resolve_revisits(captures(_read(spark, sf_dir, "pages")), carry=("payload_md5", "payload_chars"))
+    pairs = F.array_sort(F.transform(F.map_entries("headers"), lambda x: F.concat(x["key"], F.lit(": "), x["value"])))
+    return found.select("record_id", "outcome", "refers_to", F.array_join(pairs, "\n").alias("headers"), "payload_md5", "payload_chars")
+
+
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(_read(spark, sf_dir, "pages"))
 
@@ -83,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_toxicity": op4_toxicity,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
+    "op7_warc_revisits": op7_warc_revisits,
     "op8_html_text": op8_html_text,
     "op9_simhash": op9_simhash,
     "op10_url_filters": op10_url_filters,
@@ -90,5 +130,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op1_line_dedup": sql.LINE_DEDUP,
+    "op7_warc_revisits": sql.WARC,
     "op10_url_filters": sql.URL_FILTER,
 }

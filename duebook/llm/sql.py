@@ -96,3 +96,54 @@ SELECT p.page_id, p.host, p.path, u.rule,
        coalesce(u.says, CASE WHEN b.bound >= 0.5 THEN 'allow' ELSE 'block' END) AS verdict
 FROM parts p JOIN bounds b USING (host) LEFT JOIN ruled u USING (host, path)
 """
+
+
+WARC = f"""
+WITH base AS (
+  SELECT page_id AS p, url, html, '"' || md5(coalesce(html, '')) || '"' AS tag,
+         'Mon, 01 Jan 2024 00:00:' || lpad((page_id % 60)::VARCHAR, 2, '0') || ' GMT' AS first
+  FROM pages
+), caps AS (
+  SELECT b.*, k, k = 0 OR (k = 2 AND p % 3 = 0) AS is_full,
+         1704067200 + (p % 1000) * 60 + k * 86400 AS seen
+  FROM base b, (SELECT unnest([0, 1, 2, 3, -1]) AS k) WHERE k >= 0 OR p % 11 = 0
+), recs AS (
+  SELECT 'urn:' || p || ':' || k AS record_id, seen, is_full, k,
+         CASE WHEN k = 0 THEN tag WHEN k = 1 AND p % 5 = 0 THEN '"other"' WHEN k = 1 THEN tag WHEN k >= 3 THEN 'W/' || tag END AS etag,
+         CASE WHEN k = 0 THEN first WHEN k = 2 AND (p % 2 = 0 OR is_full) THEN first END AS changed,
+         CASE WHEN k > 0 THEN 'max-age=' || k ELSE 'no-cache' END AS cache,
+         CASE WHEN is_full THEN 'text/html' ELSE 'text/plain' END AS type,
+         CASE WHEN is_full THEN 'origin' END AS server,
+         CASE WHEN is_full THEN html || CASE WHEN k = 0 THEN '' ELSE '<!-- 2 -->' END END AS body,
+         regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)([^#]*)', ['s', 'h', 'p', 'q']) AS u
+  FROM caps
+), keyed AS (
+  SELECT *, translate(u.s, {UPPER}, {LOWER}) AS scheme, translate(u.h, {UPPER}, {LOWER}) AS host FROM recs
+), canon AS (
+  SELECT *, CASE WHEN scheme <> '' THEN scheme || '://'
+    || CASE scheme WHEN 'http' THEN regexp_replace(host, ':80$', '') WHEN 'https' THEN regexp_replace(host, ':443$', '') ELSE host END
+    || CASE WHEN u.p = '' THEN '/' ELSE u.p END || u.q END AS key
+  FROM keyed
+), found AS (
+  SELECT n.*, o.record_id AS old_id, o.etag AS old_etag, o.changed AS old_changed, o.server AS old_server, o.body AS old_body, o.type AS old_type
+  FROM canon n LEFT JOIN canon o ON NOT n.is_full AND o.record_id = (
+    SELECT arg_max(r.record_id, (r.seen, r.record_id)) FROM canon r WHERE r.is_full AND r.key = n.key AND r.seen < n.seen)
+), judged AS (
+  SELECT *, CASE WHEN is_full THEN 'full' WHEN old_id IS NULL THEN 'orphan'
+    WHEN etag IS NULL AND changed IS NULL THEN 'no validator'
+    WHEN coalesce(CASE WHEN etag IS NOT NULL THEN regexp_replace(etag, '^W/', '') = regexp_replace(old_etag, '^W/', '')
+                       ELSE changed = old_changed END, false) THEN 'resolved' ELSE 'mismatch' END AS outcome
+  FROM found
+), merged AS (
+  SELECT *, outcome = 'resolved' AS done FROM judged
+)
+SELECT record_id, outcome, CASE WHEN done THEN old_id END AS refers_to,
+       concat_ws(chr(10), 'cache-control: ' || cache,
+         'content-type: ' || CASE WHEN done THEN old_type ELSE type END,
+         'etag: ' || CASE WHEN done THEN coalesce(etag, old_etag) ELSE etag END,
+         'last-modified: ' || CASE WHEN done THEN coalesce(changed, old_changed) ELSE changed END,
+         'server: ' || CASE WHEN done THEN old_server ELSE server END) AS headers,
+       md5(CASE WHEN done THEN old_body ELSE body END) AS payload_md5,
+       length(CASE WHEN done THEN old_body ELSE body END) AS payload_chars
+FROM merged
+"""
