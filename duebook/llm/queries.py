@@ -13,6 +13,7 @@ from .embedding import embedding_groups
 from .html_text import main_text
 from .line_dedup import line_dedup
 from .packing import pack
+from .pieces import sampled_pieces
 from .quality import base_failed, features, fit_quality, kept
 from .simhash import as_hex, simhash_groups
 from .toxicity import HELD_OUT, REJECT, fit_toxicity, fold
@@ -55,6 +56,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= REJECT).cast("int"))
 
 
+def op5_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampled_pieces(_read(spark, sf_dir, "documents"))
+
+
 def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_groups(_read(spark, sf_dir, "embeddings"))
 
@@ -121,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_toxicity": op4_toxicity,
+    "op5_sentencepiece_sampling": op5_sentencepiece_sampling,
     "op6_embedding_near_dedup": op6_embedding_near_dedup,
     "op7_warc_revisits": op7_warc_revisits,
     "op8_html_text": op8_html_text,
