@@ -31,8 +31,9 @@ def low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated passages; a document of which nothing is left goes."""
-    left = line_dedup(docs).where((F.col("lines_removed") == 0) | (F.col("text") != ""))
-    n_chars = F.when(F.col("lines_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    count = "lines_removed" + "_" * max(map(len, docs.columns))  # no column of docs has this name
+    left = line_dedup(docs, count=count).where((F.col(count) == 0) | (F.col("text") != ""))
+    n_chars = F.when(F.col(count) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return left.withColumn("n_chars", n_chars).select(*docs.columns)
 
 

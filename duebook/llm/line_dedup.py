@@ -76,15 +76,16 @@ def _without(text: Column, starts: Column, size: int) -> Column:
     return let(let(F.split(text, "\n"), parts), cut)
 
 
-def line_dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
-    """``docs`` with ``text`` without repeated passages and ``lines_removed`` (int).
+def line_dedup(docs: DataFrame, size: int = WINDOW, count: str = "lines_removed") -> DataFrame:
+    """``docs`` with ``text`` without repeated passages and the number of lines with a
+    word that went (column ``count``).
 
     A window is later if its ``doc_id`` is not the smallest that has it, or if it
     stood earlier in the same row.  Rows sharing a ``doc_id`` count as one
     document and do not remove each other's lines; rows without an id come last,
     as one document.  Texts of fewer than ``size`` lines with a word, empty and
     null ones, are left alone; a text of which every line goes becomes empty.
-    A column ``lines_removed`` of ``docs`` is replaced.
+    A column ``count`` of ``docs`` is replaced.
     """
     scratch = Scratch(docs.sparkSession)
     text = F.col("text")
@@ -101,8 +102,6 @@ def line_dedup(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     joined = rows.join(starts, spot[:4], "left").select(
         "row", F.when(F.col("starts").isNotNull(), _without(F.col("row.text"), F.col("starts"), size)).alias("left")
     )
-    others = [F.col("row")[c].alias(c) for c in docs.columns if c not in ("text", "lines_removed")]
-    new = F.when(F.col("left").isNotNull(), F.col("left.text")).otherwise(F.col("row.text")).alias("text")
-    by_name = dict(zip([c for c in docs.columns if c not in ("text", "lines_removed")], others, strict=True)) | {"text": new}
-    order = [c for c in docs.columns if c != "lines_removed"]
-    return joined.select(*(by_name[c] for c in order), F.coalesce("left.removed", F.lit(0)).alias("lines_removed"))
+    text_left = F.when(F.col("left").isNotNull(), F.col("left.text")).otherwise(F.col("row.text"))
+    columns = [(text_left if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns if c != count]
+    return joined.select(*columns, F.coalesce("left.removed", F.lit(0)).alias(count))
