@@ -23,14 +23,15 @@ select distinct cast(ts as date) as working_day from {events}
 """
 
 VIEWS["w01_working_day"] = """
-select working_day from {w02_ccworking_day} where working_day < date '2024-01-30'
+select working_day from {w02_ccworking_day} where working_day < date '2024-01-29'
+union all select date '2024-01-31'
 """
 
 VIEWS["base"] = """
 select o_orderkey as k, o_custkey as c, cast(round(o_totalprice*100) as bigint) as cents,
   lpad(cast(o_custkey as string),9,'0') as customer_number,
   concat('CC', lpad(cast(o_custkey as string),9,'0'), case when o_orderkey%3=0 then '19' else '18' end, lpad(cast(o_orderkey as string),13,'0')) as id_product,
-  date '2024-01-01' + cast(o_orderkey%30 as int) as working_day
+  date '2024-01-01' + cast(o_orderkey%32 as int) as working_day
 from {orders}
 """
 
@@ -66,7 +67,7 @@ select working_day, working_day - cast(1 as int) as p_working_day, id_product, c
   case k%4 when 0 then 'EUR' when 1 then 'USD' else 'ALL' end as card_ccy,
   case k%5 when 0 then 'VISA ' when 1 then ' VISA' when 2 then 'GOLD' when 3 then 'AMEX' else 'MC' end as id_product_type,
   case when c%20=19 then 'Retail' when c%20=18 then 'NON-RETAIL' when c%5<3 then 'RETAIL' else 'NONRETAIL' end as retail_nonretail_indicator,
-  case when k%12=0 then '1' else '0' end as is_joint, case when k%12=0 then concat('J', cast(k%40 as string)) else null end as joint_id,
+  case when k%12=0 then '1' else '0' end as is_joint, case when k%12=0 then concat('J', cast(cast(floor(k/24) as bigint) as string)) else null end as joint_id,
   floor(cents*(k%7)/1e3)/1e2 as amount_past_due, floor(cents*((k+1)%7)/1e3)/1e2 as p_amount_past_due,
   cast(k%45 as int) as days_past_due, floor(cents*(k%3)/1e2)/1e2 as card_balance, floor(cents/1e2)/1e2 as gca, 10.0e0 as materiality_level,
   cast(k%200 as int) as dpd_ho, cast(case when k%4=0 then 0 else (k*7)%180 end as int) as p_dpd_ho, cast(k%60 as int) as dpd_ho2,
@@ -83,7 +84,7 @@ select working_day, working_day - cast(1 as int) as p_working_day, id_product, c
   case when k%9=0 or k%10=1 then '1' else '0' end as default_indicator, case when k%8=0 then '1' else '0' end as p_default_indicator,
   case when k%9=0 then '1' else '0' end as historical_default_indicator,
   case when k%14=0 then '1' when k%14=1 then null else '0' end as p_historical_default_indicator, '0' as default_contagion_indicator,
-  case k%8 when 0 then ',DPD' when 1 then ',DECEASED' when 2 then ',DEBT SALE,CONTRACT TERMINATION' when 3 then 'CROSS CONTAGION INDICATOR' when 4 then 'PRB CROSS DEFAULT PULLING EFFECT' when 5 then null when 6 then ',NON ACCRUED STATUS,DPD,DPD' else '' end as default_reason,
+  case k%11 when 0 then ',DPD' when 1 then ',DECEASED' when 2 then ',DEBT SALE,CONTRACT TERMINATION' when 3 then 'CROSS CONTAGION INDICATOR' when 4 then 'PRB CROSS DEFAULT PULLING EFFECT' when 5 then null when 6 then ',NON ACCRUED STATUS,DPD,DPD' when 8 then ',FORECLOSURE COLLATERAL' when 9 then ',CREDIT RISK ADJUSTMENT' when 10 then ',BREACH OF COVENANTS' else '' end as default_reason,
   case k%9 when 0 then ',DPD' when 1 then ',DECEASED' when 2 then ',LOSS OF SUFFICIENT INCOME' when 3 then ',INDEBTEDNESS' when 4 then ',BANKCRUPTCY' when 5 then null when 6 then 'CROSS CONTAGION INDICATOR' when 7 then ',DEBT SALE' else '' end as p_default_reason,
   case when k%4=1 then '1' else '0' end as proposed_default_ind, case when k%3<>0 then '1' else '0' end as p_proposed_default_ind,
   case when k%5=2 then '1' else '0' end as is_probation, case when k%5=2 and k%2=0 then '1' else '0' end as p_is_probation,
@@ -107,39 +108,35 @@ from {base}
 """
 
 VIEWS["t20_exchange_rate"] = """
-select working_day, currency, case currency when 'EUR' then 1.0e0 when 'USD' then 0.9e0 else 0.0096e0 end as eur_rate, case currency when 'EUR' then 104.0e0 when 'USD' then 95.5e0 else 1.0e0 end as all_rate
-from (select working_day, @each('EUR'|'USD'|'ALL') as currency from {w02_ccworking_day}) x
+select working_day, currency, case currency when 'EUR' then 1.0e0 when 'USD' then 0.9e0 + day(working_day)/1.024e3 else 0.0096e0 + day(working_day)/1.048576e6 end as eur_rate, case currency when 'EUR' then 104.0e0 + day(working_day)/8e0 when 'USD' then 95.5e0 + day(working_day)/16e0 else 1.0e0 end as all_rate
+from (select working_day, @each('EUR'|'USD'|'ALL') as currency from (select working_day from {w01_working_day} union select working_day from {w02_ccworking_day}) w) x
 """
 
 VIEWS["t22_card_balance"] = """
 select working_day, id_product, customer_number, case when k%13=0 then '1914000000' else '1913000000' end as account_code,
-  case when k%6=0 then cents/1e2 else -cents/1e2 end as ledger_balance, cast(k%50 as double) as unamortized_fee,
+  case when k%6=0 then (cents + 1700*day(working_day))/1e2 else -(cents + 1700*day(working_day))/1e2 end as ledger_balance, cast((k + day(working_day))%50 as double) as unamortized_fee,
   case k%3 when 0 then 'EUR' when 1 then 'USD' else 'ALL' end as account_currency, lpad(cast(k as string),12,'0') as facility_id,
-  cast(k%8 as int) as calculation_basis, case when k%2=0 then '1' else '0' end as secured_flag
-from (select k, cents, id_product, customer_number, @each(date '2024-01-28'|date '2024-01-29'|date '2024-01-30') as working_day from {base}) x where k%17<>0
+  cast((k + day(working_day))%8 as int) as calculation_basis, case when (k + day(working_day))%2=0 then '1' else '0' end as secured_flag
+from (select k, cents, id_product, customer_number, @each(date '2024-01-28'|date '2024-01-29'|date '2024-01-30'|date '2024-01-31') as working_day from {base}) x where k%17<>0
 """
 
 VIEWS["t26_writteoff_recovery"] = """
-select date '2024-01-29' - cast(l_linenumber%2 as int) as working_day, id_product, case l_linenumber%5 when 0 then 'wa' when 1 then 'WO' when 2 then 'Rep' when 3 then 'DS' else 'XX' end as writteoff_recovery, cast(l_quantity as double) as amount_event
-from {lineitem} join {base} on l_orderkey = k where l_returnflag = 'R'
-"""
-
-VIEWS["first_product"] = """
-select c, customer_number, min(id_product) as id_product from {base} group by c, customer_number
+select date '2024-01-31' - cast(l_linenumber%4 as int) as working_day, id_product, case l_linenumber%5 when 0 then 'wa' when 1 then 'WO' when 2 then 'Rep' when 3 then 'DS' else 'XX' end as writteoff_recovery, cast(l_quantity as double) as amount_event
+from {lineitem} join {base} on l_orderkey = k
 """
 
 VIEWS["atmp_default_triggers"] = """
-select cast(e.ts as date) as working_day, b.customer_number as nrp_customer, b.id_product,
+select cast(e.ts as date) + cast(1 as int) as working_day, b.customer_number as nrp_customer, b.id_product,
   case when e.event_type='error' then '1' else '0' end as is_decease_cust, case when e.event_type='signup' then '1' else '0' end as is_bankcruptcy,
   case when e.event_type='click' then '1' else '0' end as is_terminated_contract, case when e.event_type='view' then '1' else '0' end as loss_of_sufficient_income,
   case when e.event_type='purchase' then '1' else '0' end as is_indebtedness, case when e.event_id%5=0 then '1' else '0' end as non_accrued_status,
   case when e.event_id%5=1 then '1' else '0' end as breach_contract_covenants, case when e.event_id%5=2 then '1' else '0' end as is_dept_sale_npv, case when e.event_id%5=3 then '1' else '0' end as is_foreclosure_collateral
-from {events} e join {first_product} b on e.user_id = b.c
+from {events} e join {base} b on e.user_id = b.c
 """
 
 VIEWS["technical_default"] = """
-select cast(e.ts as date) as system_date, b.id_product, b.customer_number
-from {events} e join {first_product} b on e.user_id = b.c where e.event_type = 'error' and e.event_id%3=0
+select cast(e.ts as date) + cast(1 as int) as system_date, b.id_product, b.customer_number
+from {events} e join {base} b on e.user_id = b.c where e.event_type = 'error'
 """
 
 VIEWS["tc08_configuration_table"] = """
@@ -152,13 +149,13 @@ select 'DPD' as reason_desc, 'R01' as reason_code union all select 'DEBT SALE',
 """
 
 VIEWS["atmp_joint_dpd"] = """
-select concat('J', cast(k as string)) as joint_id, cast(k*3 as int) as dpd_ho from {base} where k < 35
+select concat('J', cast(cast(floor(k/24) as bigint) as string)) as joint_id, cast(max(k*3%200) as int) as dpd_ho from {base} group by cast(floor(k/24) as bigint)
 """
 
 VIEWS["customer_relations"] = """
 select customer_number as applicant_id, concat(substring(lpad(cast(k as string),12,'0'),10,2), substring(lpad(cast(k as string),12,'0'),7,3)) as facility_id, case when k%2=0 then '1' else '0' end as is_joint_micro,
   case when k%3=0 then 'GUARANTOR' else 'BORROWER' end as application_role_code, case when k%5=0 then 'LOAN' else 'CARD' end as product_type, concat('G', cast(k%25 as string)) as joint_group
-from {base} where k%4=0
+from {base}
 """
 
 VIEWS["vw_unwinding"] = """
@@ -181,11 +178,11 @@ select distinct concat('PC', cast(n_nationkey as string)) as profit_center, conc
 """
 
 VIEWS["t14_unwinding"] = """
-select b.day as working_day, b.id_product, case when k%10=0 then 'LN' else 'CC' end as product_group, b.day as closing_day, b.day - cast(1 + k%3 as int) as p_closing_day,
+select cast(k*4 + day(b.day) - 27 as bigint) as autoid, b.day as working_day, b.id_product, case when k%10=0 then 'LN' else 'CC' end as product_group, b.day as closing_day, b.day - cast(1 + k%3 as int) as p_closing_day,
   cast(k%8 as int) as calculation_basis, cast(5 + k%20 as double) as interest_rate, floor(cents/1e2)/1e2 as gca_all, cast(k%1000 as double) as provision_fund,
-  cast(k%11 as double) as unwinding_daily_lcy, case when k%6=0 then null else cast(k%90 as double) end as unwinding_mtd_lcy, 0.0e0 as unwinding_daily_ocy, 0.0e0 as unwinding_mtd_ocy,
+  cast(k%11 as double) as unwinding_daily_lcy, case when k%6=0 then null else cast((k + day(b.day))%90 as double) end as unwinding_mtd_lcy, 0.0e0 as unwinding_daily_ocy, 0.0e0 as unwinding_mtd_ocy,
   case k%3 when 0 then 'EUR' when 1 then 'USD' else 'ALL' end as deal_ccy
-from (select k, cents, id_product, @each(date '2024-01-29'|date '2024-01-30') as day from {base}) b where k%4<>0 or b.day = date '2024-01-30'
+from (select k, cents, id_product, @each(date '2024-01-28'|date '2024-01-29'|date '2024-01-30') as day from {base}) b where k%4<>0 or b.day = date '2024-01-30'
 """
 
 VIEWS["t17_dpd_credit_cards"] = """
@@ -221,7 +218,7 @@ VIEWS["atmp_history_rows"] = (
 )
 
 VIEWS["err_atmp_t17_dpd_credit_cards"] = """
-select * from {atmp_t17_dpd_credit_cards} where cast(account_number as bigint)%23=0
+select * from {atmp_t17_dpd_credit_cards}
 """
 
 VIEWS["atmp_t18_cc_payment_schedule"] = """
@@ -230,27 +227,32 @@ select b.id_product, cast(l.l_shipdate as date) as principal_payment_date, l.l_e
   cast(10 + b.k%8 as double) as minimum_payment, cast(l.l_linenumber as double) as penalty_interest_rate, l.l_quantity*2 as penalty_interest_amount,
   date '2024-01-30' as working_day, cast(b.k%40 as double) as last_sum_of_payment, cast(b.k%44 as double) as payment_amount,
   case when l.l_returnflag='R' then '1' else '0' end as is_pastdue, cast(l.l_linenumber as int) as period, cast(l.l_shipdate as date) + cast(20 as int) as due_date_dlq
-from {lineitem} l join {base} b on l.l_orderkey = b.k where l.l_linestatus = 'O'
+from {lineitem} l join {base} b on l.l_orderkey = b.k
 """
 
 VIEWS["t18_cc_payment_schedule"] = """
-select cast(l_orderkey*10 + l_linenumber as bigint) as autoid, concat('H', cast(l_orderkey as string)) as id_product, date '2024-01-29' as working_day from {lineitem} where l_linestatus = 'F'
+select cast(l_orderkey*10 + l_linenumber as bigint) as autoid, concat('H', cast(l_orderkey as string)) as id_product, date '2024-01-29' as working_day from {lineitem}
 """
 
 VIEWS["t19_default_events"] = """
 select customer_number, case when k%7=0 then concat('LN', substring(id_product,3,24)) else id_product end as account_id, 'R01' as default_trigger_id, 'DPD' as default_trigger_description,
-  case when k%2=0 then date '2024-01-30' else date '2024-01-29' end as event_start_date, 'ACTIVE' as event_status
-from {base} where k%20 < 3
+  date '2024-01-31' - cast(k%4 as int) as event_start_date, 'ACTIVE' as event_status
+from {base}
 """
 
 VIEWS["onboarding_candidates"] = """
-select lpad(cast(c_custkey as string),9,'0') as nrp_customer, c_name as customer_name, case when c_custkey%3=0 then null else concat('+', cast(c_custkey as string)) end as customer_phone,
+select lpad(cast(c_custkey as string),9,'0') as nrp_customer, case when copy = 1 then c_name else concat('A ', c_name) end as customer_name, case when c_custkey%3=0 then null else concat('+', cast(c_custkey as string)) end as customer_phone,
   cast(null as string) as customer_address, concat('PC', cast(c_nationkey as string)) as profit_center, case c_custkey%5 when 0 then '01' when 1 then '20' when 2 then '06' when 3 then '10' else null end as coconut_type,
   c_mktsegment as marketing_group, cast(c_custkey as string) as coconut_number, concat('O', cast(c_custkey%9 as string)) as customer_officer_code, cast(null as string) as customer_officer_name,
   case when c_custkey%4=0 then null else 'N1' end as nace_code, case when c_custkey%6=0 then '' when c_custkey%6=1 then null else 'S11' end as esa_code
-from {customer}
+from (select *, @each(1|2) as copy from {customer}) twice where copy = 1 or c_custkey%3<>0
 """
 
+# Staging holds one day: the tables of a whole close.
+VIEWS["base_today"] = VIEWS["base"].replace("date '2024-01-01' + cast(o_orderkey%32 as int)", "date '2024-01-30'")
+VIEWS["t17_today"] = VIEWS["atmp_t17_dpd_credit_cards"].replace("{base}", "{base_today}")
+VIEWS["err_today"] = "select * from {t17_today}"
+
 _EACH = re.compile(r"@each\(([^)]*)\)")
 
 

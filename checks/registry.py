@@ -7,6 +7,7 @@ decimals, b boolean.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import cached_property
@@ -36,6 +37,7 @@ from duebook.operators import (
     valuation,
 )
 from duebook.plans import close as plans
+from duebook.plans.lineage import shared_folder
 from duebook.plans.lookups import HotKeys, missing_from
 from duebook.plans.update import (
     conform,
@@ -46,8 +48,11 @@ from duebook.plans.update import (
     with_surrogate_key,
 )
 from duebook.schema import SCHEDULE, SNAPSHOT, error_snapshot
+from duebook.sources.sinks import SLICES, append, overwrite_slices, publish, write_version
+from duebook.sources.tables import Tables
 
 T17 = "atmp_t17_dpd_credit_cards"
+TODAY = "t17_today"
 RUN_AT = "2024-01-30 18:00:00"
 SQL_TYPES = {"s": "varchar", "i": "bigint", "f": "double", "r": "double", "b": "boolean"}
 SPARK_TYPES = {"s": "string", "i": "bigint", "f": "double", "r": "double", "b": "boolean"}
@@ -75,13 +80,35 @@ class Context:
     def hot(self) -> HotKeys:
         return HotKeys.find(self.t17, "customer_number")
 
+    @property
+    def today(self) -> DataFrame:
+        """Staging as a close finds it: one day."""
+        return self.bank[TODAY]
+
     @cached_property
     def outputs(self) -> dict[str, DataFrame]:
         """All outputs of one daily close."""
         return plans.daily_close(self.close(), _run_at())
 
     def close(self, mode: str = "observed") -> plans.Close:
-        return plans.Close.of(self.bank, self.days, mode, self.hot)
+        staging = {T17: TODAY, "err_atmp_t17_dpd_credit_cards": "err_today"}
+        tables = Tables(lambda name: self.bank[staging.get(name, name)])
+        return plans.Close.of(tables, self.days, mode, self.hot)
+
+    def published(self, name: str) -> DataFrame:
+        """A history table after the close has been published over it twice."""
+        rows = self.outputs[name]
+        root = f"{shared_folder(self.bank.spark)}/published-{uuid.uuid4().hex}"
+        before = conform(self[name], rows.schema).dropna(subset=list(SLICES[name]))
+        overwrite_slices(before, f"{root}/{name}", SLICES[name])
+        for _ in range(2):
+            publish({name: rows}, root, [name])
+        return self.bank.spark.read.schema(rows.schema).parquet(f"{root}/{name}")
+
+    def stored(self, write: Callable[[str], None]) -> DataFrame:
+        """What ``write`` leaves in a new folder."""
+        path = f"{shared_folder(self.bank.spark)}/stored-{uuid.uuid4().hex}"
+        return self.bank.spark.read.parquet(write(path) or path)
 
 
 @dataclass(frozen=True)
@@ -219,6 +246,16 @@ add("s12_schema_padding", "id_product working_day autoid:i eba_status gca:f",
     lambda c: conform(c["err_atmp_t17_dpd_credit_cards"].drop("eba_status", "gca"), SNAPSHOT),
     ["err_atmp_t17_dpd_credit_cards"],
     "select id_product, working_day, null as autoid, null as eba_status, null as gca from err_atmp_t17_dpd_credit_cards")
+add("s4_append", "id_product working_day",
+    lambda c: c.stored(lambda path: [append(c[t].select("id_product", "working_day"), path) for t in ("t22_card_balance", "t14_unwinding")] and None),
+    ["t22_card_balance", "t14_unwinding"],
+    "select id_product, working_day from t22_card_balance union all select id_product, working_day from t14_unwinding")
+add("s8_full_overwrite", "id_product gca_all:f",
+    lambda c: c.stored(lambda path: [write_version(c["t14_unwinding"].select("id_product", value.alias("gca_all")), path, v) for v, value in (("1", -F.col("gca_all")), ("2", F.col("gca_all")))][-1]),
+    ["t14_unwinding"], "select id_product, gca_all from t14_unwinding")
+add("s9_append_nothing", "id_product working_day",
+    lambda c: c.stored(lambda path: [append(df.select("id_product", "working_day"), path) for df in (c["t14_unwinding"], c["t14_unwinding"].limit(0))] and None),
+    ["t14_unwinding"], "select id_product, working_day from t14_unwinding")
 add("s14_replace_slice", "id_product working_day product_group gca_all:f account_number",
     lambda c: unwinding.with_todays_rows(
         c["t14_unwinding"],
@@ -638,7 +675,7 @@ add("d61_onboard_customers", ONBOARD,
     "customer_officer_code, customer_officer_name, coalesce(nace_code, '') as nace_code, coalesce(esa_code, '') as esa_code, "
     "case when coconut_type in ('01', '20') then 'RETAIL' else 'NONRETAIL' end as retail_nonretail, "
     "case coconut_type when '01' then 'PI' when '20' then 'MICRO' when '06' then 'SME' else 'CORPORATE' end as customer_segment "
-    "from onboarding_candidates where nrp_customer not in (select nrp_customer from t01_customer)")
+    "from (select * from onboarding_candidates qualify row_number() over (partition by nrp_customer order by customer_name) = 1) o where nrp_customer not in (select nrp_customer from t01_customer)")
 add("d62_esa_code", "nrp_customer profit_center esa_code",
     lambda c: registers.backfill_esa_code(c["t01_customer"], c["tc03_profit_center"]),
     ["t01_customer", "tc03_profit_center"],
@@ -669,11 +706,16 @@ def _snapshot_sql(accounts: str) -> str:
 add("d64_commit_accounts", _columns_of(SNAPSHOT), lambda c: commit.snapshot(c.t17, c["t17_dpd_credit_cards"]),
     [T17], _snapshot_sql(T17))
 _narrow = {f.name for f in error_snapshot().fields}
+
+
+def _rejected_sql(rejected: str) -> str:
+    shown = ", ".join(c if c in _narrow else f"null as {c}" for c in SNAPSHOT_COLUMNS)
+    return f"select working_day, {shown} from {rejected}"
+
+
 add("d65_commit_rejected", _columns_of(SNAPSHOT),
     lambda c: commit.rejected_snapshot(c["err_atmp_t17_dpd_credit_cards"], c["t17_dpd_credit_cards"]),
-    ["err_atmp_t17_dpd_credit_cards"],
-    "select working_day, " + ", ".join(c if c in _narrow else f"null as {c}" for c in SNAPSHOT_COLUMNS)
-    + " from err_atmp_t17_dpd_credit_cards")
+    ["err_atmp_t17_dpd_credit_cards"], _rejected_sql("err_atmp_t17_dpd_credit_cards"))
 add("d66_commit_schedule", _columns_of(SCHEDULE),
     lambda c: commit.schedule_snapshot(c["atmp_t18_cc_payment_schedule"], c["t18_cc_payment_schedule"]),
     ["atmp_t18_cc_payment_schedule"], "atmp_t18_cc_payment_schedule")
@@ -683,9 +725,9 @@ add("d66_commit_schedule", _columns_of(SCHEDULE),
 ENGINE_TABLES = [*DETECT_TABLES, "t22_card_balance"]
 
 
-def _engine_steps(merge_base):
+def _engine_steps(merge_base, start=TODAY):
     """Detection to attributes; the merge after contagion needs the relation before it."""
-    before, last = chain([*merge_base, *q.DETECTION, q.with_overdue, *q.probation(), q.end_probation()])
+    before, last = chain([*merge_base, *q.DETECTION, q.with_overdue, *q.probation(), q.end_probation()], start)
     ctes, number = list(before), len(before)
     base = last
     for step in [*q.cross_default(), *q.pulling(), q.repeated]:
@@ -715,7 +757,7 @@ def _extend(ctes, last, step_list):
 
 _ctes, _last = _engine_steps([])
 add("w4_default_engine", f"{CONTAGION} {PREVIOUS} {ATTRIBUTES}",
-    lambda c: plans.default_engine(c.t17, c.close()), [T17, *ENGINE_TABLES], _last, _ctes)
+    lambda c: plans.default_engine(c.today, c.close()), [TODAY, *ENGINE_TABLES], _last, _ctes)
 
 CLOSE_COLUMNS = (
     f"{CONTAGION} {PREVIOUS} {ATTRIBUTES} {COUNTERS} {RECOVERED} retail_nonretail_indicator materiality_level:f dpd_ho:i "
@@ -727,24 +769,58 @@ CLOSE_TABLES = list(dict.fromkeys([
 _formulas = [q.segment, *q.DPD, *q.SECOND, *q.COUNTERS]
 _late = [*q.RECOVERY, q.eba, q.gca, q.interest]
 _ctes, _last = _extend(*_engine_steps(_formulas), _late)
-add("w3_account_formulas", CLOSE_COLUMNS, lambda c: plans.account_formulas(c.t17, c.close()),
-    [T17, *CLOSE_TABLES], _last, _ctes)
+add("w3_account_formulas", CLOSE_COLUMNS, lambda c: plans.account_formulas(c.today, c.close()),
+    [TODAY, *CLOSE_TABLES], _last, _ctes)
 _ctes, _last = _extend(*_engine_steps([q.carry_forward, *_formulas]), _late)
 add("w2_daily_close", CLOSE_COLUMNS + " p_working_day", lambda c: c.outputs["accounts"],
-    [T17, *CLOSE_TABLES], _last, _ctes)
+    [TODAY, *CLOSE_TABLES], _last, _ctes)
+_rejected_today = _rejected_sql("err_today")
+_history = f"select * from ({_snapshot_sql(_last)}) a union all select * from ({_rejected_today}) r"
 add("w2_daily_close_history", _columns_of(SNAPSHOT), lambda c: c.outputs["t17_dpd_credit_cards"],
-    [T17, *CLOSE_TABLES], _snapshot_sql(_last), _ctes)
-add("w2_daily_close_events", "customer_number account_id default_trigger_id event_start_date default_event_id probation_end_date",
-    lambda c: c.outputs["t19_default_events"], [T17, *CLOSE_TABLES],
-    "select customer_number, account_id, default_trigger_id, event_start_date, null as default_event_id, null as probation_end_date from t19_default_events "
-    f"where not (event_start_date = {q.CC} and substring(account_id, 1, 2) = 'CC' and length(account_id) = 26 and substring(account_id, 12, 2) in ('18', '19')) "
-    f"union all select customer_number, account_id, default_trigger_id, event_start_date, default_event_id, probation_end_date from ({q.event_rows(_last)}) n", _ctes)
+    [TODAY, "err_today", *CLOSE_TABLES], _history, _ctes)
+add("w2_published_history", _columns_of(SNAPSHOT), lambda c: c.published("t17_dpd_credit_cards"),
+    [TODAY, "err_today", *CLOSE_TABLES],
+    f"{_history} union all select working_day, {', '.join(SNAPSHOT_COLUMNS)} from t17_dpd_credit_cards where working_day <> {q.CC}", _ctes)
+add("w2_history_ids", "n:i ids:i above:b",
+    lambda c: c.outputs["t17_dpd_credit_cards"].agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("autoid").alias("ids"),
+        (F.min("autoid") > c["t17_dpd_credit_cards"].agg(F.max("autoid")).scalar()).alias("above")),
+    [TODAY, "err_today", "t17_dpd_credit_cards"],
+    f"select 2 * count(*) as n, 2 * count(*) as ids, true as above from {TODAY}")
+EVENT_ROW = "customer_number account_id default_trigger_id event_start_date default_event_id probation_end_date"
+_todays_cards = f"event_start_date = {q.CC} and substring(account_id, 1, 2) = 'CC' and length(account_id) = 26 and substring(account_id, 12, 2) in ('18', '19')"
+_log = (
+    "select customer_number, account_id, default_trigger_id, event_start_date, null as default_event_id, null as probation_end_date "
+    f"from t19_default_events where not ({_todays_cards})"
+)
+_new_events = f"union all select customer_number, account_id, default_trigger_id, event_start_date, default_event_id, probation_end_date from ({q.event_rows(_last)}) n"
+add("w2_daily_close_events", EVENT_ROW, lambda c: c.outputs["t19_default_events"], [TODAY, *CLOSE_TABLES],
+    f"{_log} and event_start_date = {q.CC} {_new_events}", _ctes)
+add("w2_published_events", EVENT_ROW, lambda c: c.published("t19_default_events"), [TODAY, *CLOSE_TABLES],
+    f"{_log} {_new_events}", _ctes)
+add("w2_daily_close_product_types", "id_product_type product_group", lambda c: c.outputs["tc01_product_type"],
+    [TODAY, "tc01_product_type"],
+    f"select distinct trim(id_product_type) as id_product_type, 'CREDIT CARD' as product_group from {TODAY} where trim(id_product_type) not in (select trim(id_product_type) from tc01_product_type)")
+add("w2_daily_close_schedule", _columns_of(SCHEDULE), lambda c: c.outputs["t18_cc_payment_schedule"],
+    ["atmp_t18_cc_payment_schedule"], "atmp_t18_cc_payment_schedule")
 add("w2_daily_close_register", REGISTER, lambda c: c.outputs["t02_customer_product"],
-    [T17, *CLOSE_TABLES], _register_sql(False, _last), _ctes)
+    [TODAY, *CLOSE_TABLES], _register_sql(False, _last), _ctes)
 _unwound, _rows = _extend(_ctes, _last, [q.unwinding_rows, *q.UNWINDING])
 add("w2_daily_close_unwinding", UNWINDING_ROW, lambda c: c.outputs["t14_unwinding"],
-    [T17, *CLOSE_TABLES], _rows, _unwound)
-_unwound, _rows = _extend([], T17, [q.unwinding_rows, *q.UNWINDING])
-add("w5_unwinding", UNWINDING_ROW, lambda c: plans.unwinding_close(c.t17, c.close()),
-    [T17, "t14_unwinding", *UNWINDING_TABLES], _rows, _unwound)
+    [TODAY, *CLOSE_TABLES], _rows, _unwound)
+_unwinding_names = [n for n, _ in QUERIES["w2_daily_close_unwinding"].spec()]
+_before = ("facility_id", "account_number", "p_working_day", "retail_nonretail")
+add("w2_published_unwinding", UNWINDING_ROW, lambda c: c.published("t14_unwinding"),
+    [TODAY, *CLOSE_TABLES],
+    f"select {', '.join(_unwinding_names)} from {_rows} union all select "
+    + ", ".join(f"null as {n}" if n in _before else n for n in _unwinding_names)
+    + f" from t14_unwinding where not (working_day = {q.CC} and product_group = 'CC')", _unwound)
+add("w2_unwinding_ids", "n:i ids:i above:b",
+    lambda c: c.outputs["t14_unwinding"].agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("autoid").alias("ids"),
+        (F.min("autoid") > c["t14_unwinding"].agg(F.max("autoid")).scalar()).alias("above")),
+    [TODAY, *CLOSE_TABLES], f"select count(*) as n, count(*) as ids, true as above from {_rows}", _unwound)
+_unwound, _rows = _extend([], TODAY, [q.unwinding_rows, *q.UNWINDING])
+add("w5_unwinding", UNWINDING_ROW, lambda c: plans.unwinding_close(c.today, c.close()),
+    [TODAY, "t14_unwinding", *UNWINDING_TABLES], _rows, _unwound)
 

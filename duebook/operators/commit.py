@@ -25,3 +25,13 @@ def rejected_snapshot(rejected: DataFrame, history: DataFrame | None = None) ->
 
 def schedule_snapshot(schedule: DataFrame, history: DataFrame | None = None) -> DataFrame:
     return with_surrogate_key(conform(schedule, SCHEDULE), history)
+
+
+def day_history(accounts: DataFrame, rejected: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    """All rows of the day for the history table: snapshot and rejected rows.
+
+    They share a slice of the table, so they are written together, with ids that
+    are unique over both.
+    """
+    rows = snapshot(accounts).unionByName(rejected_snapshot(rejected))
+    return with_surrogate_key(rows.drop("autoid"), history).select(*SNAPSHOT.names)

@@ -104,6 +104,11 @@ def default_events(accounts: DataFrame, reasons: DataFrame, days: CloseDays) ->
     )
 
 
+def events_of_day(log: DataFrame, days: CloseDays) -> DataFrame:
+    """The day's slice of the log."""
+    return log.filter(F.col("event_start_date") == days.card_day)
+
+
 def todays_card_events(days: CloseDays) -> Column:
     """Log rows that a rerun of the same day replaces."""
     account = F.col("account_id")

@@ -83,6 +83,7 @@ def merge_product_register(t02, source, run_at: Column, mode: str = OBSERVED) ->
 SEGMENT_OF_TYPE = {"01": "PI", "20": "MICRO", "06": "SME"}
 RETAIL_TYPES = ("01", "20")
 OTHER_SEGMENT = "CORPORATE"
+# Columns whose missing values are stored as empty text.
 EMPTY_IF_NULL = (
     "customer_name",
     "customer_phone",
@@ -97,13 +98,19 @@ EMPTY_IF_NULL = (
 
 
 def onboard_customers(candidates: DataFrame, t01: DataFrame) -> DataFrame:
-    """Master rows for candidates that are not customers yet."""
+    """Master rows for candidates that are not customers yet.
+
+    One row per customer: of several candidates the smallest row, compared column
+    by column, NULL first.
+    """
     code = F.col("coconut_type")
     segment = F.lit(OTHER_SEGMENT)
     for value, name in SEGMENT_OF_TYPE.items():
         segment = F.when(code == value, name).otherwise(segment)
     retail = F.when(code.isin(*RETAIL_TYPES), RETAIL).otherwise(NONRETAIL)
-    fresh = missing_from(candidates, t01, F.col("nrp_customer"), F.col("nrp_customer"))
+    others = [c for c in candidates.columns if c != "nrp_customer"]
+    first = one_row_per_key(candidates, {"nrp_customer": F.col("nrp_customer")}, others, "").drop("found")
+    fresh = missing_from(first, t01, F.col("nrp_customer"), F.col("nrp_customer"))
     classified = fresh.withColumns({"retail_nonretail": retail, "customer_segment": segment})
     return classified.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in EMPTY_IF_NULL})
 

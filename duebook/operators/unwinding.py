@@ -15,7 +15,8 @@ from duebook.functions.calendar import CloseDays
 from duebook.operators import inputs
 from duebook.operators.inputs import on_day
 from duebook.plans.lookups import attach, attach_small, one_row_per_key
-from duebook.plans.update import replace_slice, update_where
+from duebook.plans.update import conform, replace_slice, update_where, with_surrogate_key
+from duebook.schema import UNWINDING
 
 
 def todays_cards(days: CloseDays) -> Column:
@@ -69,6 +70,12 @@ def insert_unwinding(accounts, t22, t20, ecl, days: CloseDays) -> DataFrame:
     return unwinding_rows(attach_unwinding(accounts, t22, t20, ecl, days))
 
 
+def as_stored(rows: DataFrame, history: DataFrame) -> DataFrame:
+    """Rows with the columns and types of the unwinding table and new ids."""
+    numbered = with_surrogate_key(conform(rows.drop("autoid"), UNWINDING), history)
+    return numbered.select(*UNWINDING.names)
+
+
 def with_todays_rows(t14: DataFrame, rows: DataFrame, days: CloseDays) -> DataFrame:
     """The unwinding table with today's card rows replaced; missing columns NULL."""
     return replace_slice(t14, todays_cards(days), rows)

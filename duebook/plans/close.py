@@ -38,6 +38,7 @@ from duebook.plans.update import replace_slice
 
 ACCOUNTS = "atmp_t17_dpd_credit_cards"
 HISTORY = "t17_dpd_credit_cards"
+REJECTED = "err_atmp_t17_dpd_credit_cards"
 
 # Lookup columns the outputs still need after the last step.
 KEPT_LOOKUPS = (
@@ -220,10 +221,14 @@ def unwinding_close(accounts: DataFrame, close: Close) -> DataFrame:
 def daily_close(close: Close, run_at: Column | None = None) -> dict[str, DataFrame]:
     """All outputs of one day.
 
-    ``accounts``: today's accounts.  ``t17_dpd_credit_cards``,
-    ``t18_cc_payment_schedule``, ``t14_unwinding``: rows of the day for these
-    tables.  ``t19_default_events`` and ``t02_customer_product``: the whole
-    tables.  ``tc01_product_type``: new rows.
+    ``accounts``: today's accounts.  ``t17_dpd_credit_cards`` (accepted and
+    rejected accounts), ``t18_cc_payment_schedule``, ``t14_unwinding`` (cards) and
+    ``t19_default_events`` (new rows and today's rows that stay): the slices that
+    :func:`duebook.sources.sinks.publish` replaces.  ``t02_customer_product``: the
+    whole table.  ``tc01_product_type``: new rows.
+
+    Not lazy: frequent keys are counted and two intermediate tables are written
+    while the outputs are built.
     """
     tables, days = close.tables, close.days
     run_at = F.current_timestamp() if run_at is None else run_at
@@ -234,22 +239,22 @@ def daily_close(close: Close, run_at: Column | None = None) -> dict[str, DataFra
     accounts = closed.drop(*KEPT_LOOKUPS)
     event_rows = events.default_events(accounts, tables["tc_default_reason"], days)
     register_rows = registers.product_register_source(closed)
+    unwound = unwinding.unwinding_amounts(
+        unwinding.unwinding_rows(closed), tables["t14_unwinding"], tables["t20_exchange_rate"], days
+    )
     return {
         "accounts": accounts,
         "t19_default_events": replace_slice(
-            tables["t19_default_events"], events.todays_card_events(days), event_rows
-        ),
-        "t14_unwinding": unwinding.unwinding_amounts(
-            unwinding.unwinding_rows(closed),
-            tables["t14_unwinding"],
-            tables["t20_exchange_rate"],
-            days,
+            events.events_of_day(tables["t19_default_events"], days),
+            events.todays_card_events(days),
+            event_rows,
         ),
+        "t14_unwinding": unwinding.as_stored(unwound, tables["t14_unwinding"]),
         "tc01_product_type": registers.new_product_types(accounts, tables["tc01_product_type"]),
         "t02_customer_product": registers.merge_product_register(
             tables["t02_customer_product"], register_rows, run_at, close.mode
         ),
-        "t17_dpd_credit_cards": commit.snapshot(accounts, tables[HISTORY]),
+        "t17_dpd_credit_cards": commit.day_history(accounts, tables[REJECTED], tables[HISTORY]),
         "t18_cc_payment_schedule": commit.schedule_snapshot(
             tables["atmp_t18_cc_payment_schedule"], tables["t18_cc_payment_schedule"]
         ),

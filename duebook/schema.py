@@ -45,6 +45,15 @@ gross_interest_daily_lcy double, gross_interest_mtd_lcy double,
 gross_interest_daily_ocy double, gross_interest_mtd_ocy double
 """
 )
+UNWINDING = _struct(
+    """
+autoid bigint, working_day date, id_product string, facility_id string, account_number string,
+p_working_day date, closing_day date, p_closing_day date, product_group string,
+retail_nonretail string, gca_all double, calculation_basis int, interest_rate double,
+provision_fund double, unwinding_daily_lcy double, unwinding_mtd_lcy double,
+unwinding_daily_ocy double, unwinding_mtd_ocy double, deal_ccy string
+"""
+)
 SNAPSHOT_ZERO_DEFAULTS = (
     "dpd_ho",
     "dpd_ho2",

@@ -14,12 +14,37 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = DAY_PARTITION
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+# What one close replaces in each table: the partitions that hold its rows.
+SLICES: dict[str, tuple[str, ...]] = {
+    "t17_dpd_credit_cards": ("working_day",),
+    "t18_cc_payment_schedule": ("working_day",),
+    "t14_unwinding": ("working_day", "product_group"),
+    "t19_default_events": ("event_start_date",),
+}
+
+
 def overwrite_slices(df: DataFrame, path: str, partition_by: Sequence[str] = DAY_PARTITION) -> None:
-    """Replace the partitions that ``df`` has rows for; a rerun gives the same table."""
+    """Replace the partitions that ``df`` has rows for; a rerun gives the same table.
+
+    ``df`` must hold all rows of its partitions: others of the same partition go.
+    """
+    missing = [c for c in partition_by if c not in df.columns]
+    if missing:
+        raise ValueError(f"rows without their slice columns {missing}")
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*partition_by).parquet(path)
 
 
+def publish(outputs: Mapping[str, DataFrame], root: str, tables: Sequence[str] = tuple(SLICES)) -> None:
+    """Write a close's history tables below ``root``, each by its own slices.
+
+    Rows of other days, of other product groups and, in the event log, those that
+    the close kept stay.  Publishing a close twice gives the same tables.
+    """
+    for name in tables:
+        overwrite_slices(outputs[name], f"{root.rstrip('/')}/{name}", SLICES[name])
+
+
 def write_version(df: DataFrame, path: str, version: str) -> str:
     """A whole table as a new version next to the old ones; returns its path."""
     target = f"{path.rstrip('/')}/version={version}"
