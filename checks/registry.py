@@ -349,7 +349,7 @@ def delinquency_customer(c: Context) -> DataFrame:
 
 def _window_hits(c: Context) -> DataFrame:
     trigger = default.TRIGGERS[4]
-    lookup = default.customer_events(c["atmp_default_triggers"], c.days, [trigger])
+    lookup = default.customer_events(c["atmp_default_triggers"], c.days, default.earliest_day(c.t17), [trigger])
     df = default.attach(c.t17, lookup, "customer_number", "trig_customer", "id_product", c.hot)
     return df.withColumn("hit", F.coalesce(F.col("working_day") <= F.col(trigger.column), F.lit(False)))
 

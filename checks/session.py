@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -20,6 +21,7 @@ def local_session(cpus: str | None = None, **conf: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", cpus)
     )
+    conf.setdefault("spark.checkpoint.dir", tempfile.mkdtemp(prefix="duebook-"))
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

@@ -60,7 +60,7 @@ def carry_forward(accounts: DataFrame, history: DataFrame, days: CloseDays) -> D
     the previous day on all of them.
     """
     previous = on_day(history, days.previous_day)
-    lookup = one_row_per_key(previous, "id_product", CARRIED, "prev_")
+    lookup = one_row_per_key(previous, "id_product", CARRIED, "prev_", repeats=False)
     joined = attach(accounts, lookup, "id_product", "prev_key")
     values = {target: F.col(f"prev_{source}") for source, target in CARRIED.items()}
     carried = update_where(joined, F.col("prev_found"), values)

@@ -22,7 +22,7 @@ from duebook.functions.flags import from_day_number, is_one, stayed_on, turned_o
 from duebook.operators import inputs
 from duebook.operators.default import STATUS
 from duebook.operators.delinquency import is_segment
-from duebook.plans.lookups import HotKeys, attach
+from duebook.plans.lookups import HotKeys, attach, spread_rows
 from duebook.plans.update import update_where
 
 CONTAGION_STATUS = (*STATUS, "default_contagion_indicator")
@@ -166,7 +166,7 @@ def contagion_steps(
 
 
 def contagion(accounts, t22, t01, customers, tc08, days, mode=OBSERVED, hot=None) -> DataFrame:
-    df = attach_cross_default(accounts, t22, t01, days, hot)
+    df = attach_cross_default(spread_rows(accounts, hot, "id_product"), t22, t01, days, hot)
     df = inputs.attach_customers(df, customers, tc08, columns=[], hot=hot)
     hot_balance = hot.renamed("bal_customer_number") if hot else None
     return contagion_steps(df, default_sources(df), days, mode, hot_balance).select(*accounts.columns)

@@ -25,7 +25,7 @@ from duebook.functions.reasons import distinct_reasons
 from duebook.operators import inputs
 from duebook.operators.delinquency import is_segment
 from duebook.operators.inputs import retail_setting
-from duebook.plans.lookups import HotKeys, attach
+from duebook.plans.lookups import HotKeys, attach, spread_rows
 from duebook.plans.update import update_where
 
 CUSTOMER, PRODUCT = "customer", "product"
@@ -172,10 +172,24 @@ def days_past_due_default(
 # --- trigger events ---------------------------------------------------------------
 
 
+def earliest_day(accounts: DataFrame) -> Column:
+    """The first day of the account rows, as a scalar subquery."""
+    return accounts.agg(F.min(DAY)).scalar()
+
+
 def customer_events(
-    events: DataFrame, days: CloseDays, triggers: Sequence[Trigger] = TRIGGERS
+    events: DataFrame, days: CloseDays, since: Column, triggers: Sequence[Trigger] = TRIGGERS
 ) -> DataFrame:
-    """One row per customer: which customer-level events count today, or until when."""
+    """One row per customer: which customer-level events count today, or until when.
+
+    Of the events only the bank day and those that can count on ``since``, the
+    first day of the accounts, or later are read; three months back, and three days
+    more because months end on different days.
+    """
+    read = F.col(DAY) == days.bank_day
+    if any(t.level == CUSTOMER and t.when == THREE_MONTHS for t in triggers):
+        read = read | (F.col(DAY) >= F.date_sub(F.add_months(since, -3), 3))
+    events = events.filter(read)
     aggregates = {}
     for trigger in triggers:
         if trigger.level != CUSTOMER:
@@ -202,10 +216,17 @@ def product_events(
     return today.groupBy(F.col("id_product").alias("trig_product")).agg(*aggregates.values())
 
 
+def on_row_days(events: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Events from the first to the last day of the accounts."""
+    first, last = earliest_day(accounts), accounts.agg(F.max(DAY)).scalar()
+    return events.filter(F.col(DAY).between(first, last))
+
+
 def attach_row_day_events(df: DataFrame, events: DataFrame, trigger: Trigger) -> DataFrame:
     """Events of the same product and the same day as the account row."""
     happened = (
-        events.filter(is_one(trigger.flag))
+        on_row_days(events, df)
+        .filter(is_one(trigger.flag))
         .select(F.col("id_product").alias("_row_product"), F.col(DAY).alias("_row_day"))
         .distinct()
         .withColumn(trigger.column, F.lit(True))
@@ -217,6 +238,7 @@ def attach_row_day_events(df: DataFrame, events: DataFrame, trigger: Trigger) ->
 def row_day_products(accounts: DataFrame, events: DataFrame, trigger: Trigger) -> DataFrame:
     """The same as a lookup by product, which needs no extra shuffle of the accounts."""
     keys = accounts.select("id_product", F.col(DAY))
+    events = on_row_days(events, accounts)
     happened = events.filter(is_one(trigger.flag)).select("id_product", DAY).distinct()
     products = happened.join(keys, ["id_product", DAY], "left_semi")
     return (
@@ -260,13 +282,13 @@ def trigger_defaults(
     hot: HotKeys | None = None,
 ) -> DataFrame:
     """Defaults by trigger events, for all triggers or some of them."""
-    df = accounts
+    df = spread_rows(accounts, hot, "id_product")
     if any(t.level == PRODUCT and t.when == BANK_DAY for t in triggers):
         df = attach(df, product_events(events, days, triggers), "id_product", "trig_product")
     for trigger in {t.column: t for t in triggers if t.when == ROW_DAY}.values():
         df = attach_row_day_events(df, events, trigger)
     if any(t.level == CUSTOMER for t in triggers):
-        lookup = customer_events(events, days, triggers)
+        lookup = customer_events(events, days, earliest_day(accounts), triggers)
         df = attach(df, lookup, "customer_number", "trig_customer", "id_product", hot)
     if any(t.distressed_only for t in triggers):
         df = inputs.attach_customers(df, customers, columns=[], hot=hot)
@@ -331,11 +353,12 @@ def default_detection(
 ) -> DataFrame:
     """Status of the day before probation and contagion.
 
-    All product lookups come first, then all customer lookups, so accounts are
-    shuffled once per key.
+    All product lookups come first, then all customer lookups.  Customers with very
+    many accounts are spread once, so accounts are shuffled once per key.
     """
     df = attach_detection(accounts, accounts, technical, events, days)
-    df = attach_customer_detection(df, technical, events, days, hot)
+    df = spread_rows(df, hot, "id_product")
+    df = attach_customer_detection(df, technical, events, days, earliest_day(accounts), hot)
     df = inputs.attach_customers(df, customers, columns=[], hot=hot)
     df = inputs.attach_master(df, t01, ["default_indicator"], hot)
     return detection_steps(df, tc08, days, mode).select(*accounts.columns)
@@ -349,9 +372,9 @@ def attach_detection(df, accounts, technical, events, days: CloseDays) -> DataFr
     return attach(df, technical_products(technical, days), "id_product", "tech_product_key")
 
 
-def attach_customer_detection(df, technical, events, days: CloseDays, hot=None) -> DataFrame:
-    """Customer-level lookups of the detection."""
-    lookup = customer_events(events, days)
+def attach_customer_detection(df, technical, events, days: CloseDays, since, hot=None) -> DataFrame:
+    """Customer-level lookups of the detection; ``since`` is the accounts' first day."""
+    lookup = customer_events(events, days, since)
     df = attach(df, lookup, "customer_number", "trig_customer", "id_product", hot)
     lookup = technical_customers(technical, days)
     return attach(df, lookup, "customer_number", "tech_customer_key", "id_product", hot)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from duebook.config import LIMITS, PRIVATE_INDIVIDUAL, RETAIL
 from duebook.functions.calendar import DAY
-from duebook.plans.lookups import HotKeys, attach, attach_small, one_row_per_key, spread_nulls
+from duebook.plans.lookups import HotKeys, attach, attach_small, one_row_per_key
 
 MASTER_COLUMNS = ("retail_nonretail", "customer_segment", "default_indicator", "dpd_ho")
 CUSTOMER_COLUMNS = ("maximum_days_past_due", "maxdpd_current_month", "dpd_ho2", "default_start_date")
@@ -37,7 +37,7 @@ def on_day(df: DataFrame, day: Column) -> DataFrame:
 
 
 def balances(t22: DataFrame, day: Column, columns, prefix: str) -> DataFrame:
-    return one_row_per_key(on_day(t22, day), "id_product", columns, prefix)
+    return one_row_per_key(on_day(t22, day), "id_product", columns, prefix, repeats=False)
 
 
 def attach_rates(
@@ -115,6 +115,14 @@ def attach_balances(df, t22, day, columns=BALANCE_COLUMNS, prefix="bal_") -> Dat
 
 
 def attach_joint(df: DataFrame, joint: DataFrame) -> DataFrame:
-    """Joint loans by ``joint_id``, which most accounts do not have."""
-    lookup = one_row_per_key(joint, "joint_id", ["dpd_ho"], "joint_")
-    return attach(df, lookup, "joint_id", "joint_key", "id_product", spread_nulls("joint_id"))
+    """Counter of the joint loan, which most accounts do not have."""
+    return attach(df, joint_counters(df, joint), "id_product", "key")
+
+
+def joint_counters(accounts: DataFrame, joint: DataFrame) -> DataFrame:
+    """Counter of the joint loan by product; only joint accounts are shuffled for it."""
+    members = accounts.filter(F.col("joint_id").isNotNull()).select("id_product", "joint_id")
+    hot = HotKeys.find(members, "joint_id")
+    loans = one_row_per_key(joint, "joint_id", ["dpd_ho"], "joint_")
+    found = attach(members, loans, "joint_id", "joint_key", "id_product", hot)
+    return one_row_per_key(found, "id_product", ["joint_dpd_ho"], "").drop("found")

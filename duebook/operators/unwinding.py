@@ -70,7 +70,7 @@ def insert_unwinding(accounts, t22, t20, ecl, days: CloseDays) -> DataFrame:
     return unwinding_rows(attach_unwinding(accounts, t22, t20, ecl, days))
 
 
-def as_stored(rows: DataFrame, history: DataFrame) -> DataFrame:
+def as_stored(rows: DataFrame, history: DataFrame | int) -> DataFrame:
     """Rows with the columns and types of the unwinding table and new ids."""
     numbered = with_surrogate_key(conform(rows.drop("autoid"), UNWINDING), history)
     return numbered.select(*UNWINDING.names)

@@ -9,8 +9,8 @@ final accounts, from which all outputs are read.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,8 +32,8 @@ from duebook.operators import (
     unwinding,
     valuation,
 )
-from duebook.plans.lineage import cut
-from duebook.plans.lookups import HotKeys, attach, one_row_per_key, spread_rows
+from duebook.plans.lineage import Intermediate
+from duebook.plans.lookups import HotKeys, attach, spread_rows
 from duebook.plans.update import replace_slice
 
 ACCOUNTS = "atmp_t17_dpd_credit_cards"
@@ -60,29 +60,29 @@ class Close:
     days: CloseDays
     mode: str = OBSERVED
     hot: HotKeys | None = None  # customers with very many accounts
-    keep: Callable[[DataFrame, str], DataFrame] = cut
+    keep: Intermediate = field(default_factory=Intermediate)
+    largest_ids: Mapping[str, int] = field(default_factory=dict)  # by table, from ``sinks.largest_ids``
 
     @classmethod
-    def of(cls, tables: Mapping[str, DataFrame], days=None, mode=OBSERVED, hot=None, keep=cut) -> Close:
+    def of(cls, tables: Mapping[str, DataFrame], days=None, mode=OBSERVED, hot=None, largest_ids=None) -> Close:
         check_mode(mode)
         if days is None:
             days = CloseDays.from_calendars(tables["w01_working_day"], tables["w02_ccworking_day"])
             days = days.resolved(tables[ACCOUNTS].sparkSession)
         if hot is None:
             hot = HotKeys.find(tables[ACCOUNTS], "customer_number")
-        return cls(tables, days, mode, hot, keep)
+        return cls(tables, days, mode, hot, largest_ids=largest_ids or {})
 
+    def clear(self) -> None:
+        """Delete the intermediate tables, once the outputs are written."""
+        self.keep.clear()
 
-# --- lookups ------------------------------------------------------------------
+    def ids_above(self, name: str) -> DataFrame | int:
+        """What new ids must exceed: the known largest one, else the whole table."""
+        return self.largest_ids.get(name, self.tables[name])
 
 
-def joint_counters(accounts: DataFrame, joint: DataFrame) -> DataFrame:
-    """Counter of the joint loan by product; only joint accounts are shuffled for it."""
-    members = accounts.filter(F.col("joint_id").isNotNull()).select("id_product", "joint_id")
-    hot = HotKeys.find(members, "joint_id")
-    loans = one_row_per_key(joint, "joint_id", ["dpd_ho"], "joint_")
-    found = attach(members, loans, "joint_id", "joint_key", "id_product", hot)
-    return one_row_per_key(found, "id_product", ["joint_dpd_ho"], "").drop("found")
+# --- lookups ------------------------------------------------------------------
 
 
 def by_product(accounts: DataFrame) -> DataFrame:
@@ -103,7 +103,7 @@ def attach_by_product(df: DataFrame, accounts: DataFrame, close: Close) -> DataF
         df, tables["t22_card_balance"], days.asof_day, inputs.ASOF_COLUMNS, "asof_"
     )
     df = valuation.value_accounts(df)
-    joint = joint_counters(accounts, tables["atmp_joint_dpd"])
+    joint = inputs.joint_counters(accounts, tables["atmp_joint_dpd"])
     df = attach(df, joint, "id_product", "key")
     df = default.attach_detection(
         df, accounts, tables["technical_default"], tables["atmp_default_triggers"], days
@@ -121,7 +121,12 @@ def attach_by_customer(df: DataFrame, close: Close) -> DataFrame:
         df, tables["atmp_customer"], tables["tc08_configuration_table"], hot=hot
     )
     df = default.attach_customer_detection(
-        df, tables["technical_default"], tables["atmp_default_triggers"], days, hot
+        df,
+        tables["technical_default"],
+        tables["atmp_default_triggers"],
+        days,
+        default.earliest_day(tables[ACCOUNTS]),
+        hot,
     )
     return df.drop(hot.salt_column) if hot else df
 
@@ -249,13 +254,13 @@ def daily_close(close: Close, run_at: Column | None = None) -> dict[str, DataFra
             events.todays_card_events(days),
             event_rows,
         ),
-        "t14_unwinding": unwinding.as_stored(unwound, tables["t14_unwinding"]),
+        "t14_unwinding": unwinding.as_stored(unwound, close.ids_above("t14_unwinding")),
         "tc01_product_type": registers.new_product_types(accounts, tables["tc01_product_type"]),
         "t02_customer_product": registers.merge_product_register(
             tables["t02_customer_product"], register_rows, run_at, close.mode
         ),
-        "t17_dpd_credit_cards": commit.day_history(accounts, tables[REJECTED], tables[HISTORY]),
+        "t17_dpd_credit_cards": commit.day_history(accounts, tables[REJECTED], close.ids_above(HISTORY)),
         "t18_cc_payment_schedule": commit.schedule_snapshot(
-            tables["atmp_t18_cc_payment_schedule"], tables["t18_cc_payment_schedule"]
+            tables["atmp_t18_cc_payment_schedule"], close.ids_above("t18_cc_payment_schedule")
         ),
     }

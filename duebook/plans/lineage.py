@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -11,13 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a new local one where a local session has none."""
+    """The folder that the driver and all executors share."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="duebook-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return folder.rstrip("/")
 
 
@@ -40,16 +36,29 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once and read back.
+class Intermediate:
+    """Tables written once and read back, and deleted when they are not needed any more.
 
-    Results derived from it do not recompute what came before, read only the
-    columns they need, and survive the loss of executors.  Accounts have more
-    columns than Spark compiles into one loop by default, so that limit is raised.
+    Results derived from one do not recompute what came before, read only the
+    columns they need, and survive the loss of executors.
     """
-    spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{shared_folder(spark)}/{app}/{name}-{uuid.uuid4().hex}"
-    with settings(spark, WIDE_ROWS):
-        df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+    def __init__(self) -> None:
+        self.paths: list[tuple[SparkSession, str]] = []
+
+    def __call__(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written and read back.  Accounts have more columns than Spark compiles
+        into one loop by default, so that limit is raised."""
+        spark = df.sparkSession
+        app = spark.sparkContext.applicationId
+        path = f"{shared_folder(spark)}/{app}/{name}-{uuid.uuid4().hex}"
+        with settings(spark, WIDE_ROWS):
+            df.write.parquet(path)
+        self.paths.append((spark, path))
+        return spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        for spark, path in self.paths:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        self.paths = []

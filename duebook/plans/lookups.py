@@ -1,9 +1,9 @@
 """Joins of accounts with the tables they look things up in.
 
-Every lookup is first reduced to one row per key (map-side combined), so a key
-that repeats on the lookup side cannot multiply accounts.  The account side may
-repeat a key as often as it likes: the rows of a very frequent key are spread
-over several tasks by :func:`attach`.
+Every lookup is first reduced to one row per key, so a key that repeats on the
+lookup side cannot multiply accounts.  The account side may repeat a key as often
+as it likes: the rows of a very frequent key are spread over several tasks by
+:func:`attach`.
 """
 
 from __future__ import annotations
@@ -16,14 +16,22 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 20_000
-HOT_SHARE = 0.01
-SALTS = 64
+BROADCAST_BYTES = 8 << 20
+# Rows of one key that a task takes; more are spread.
+ROWS_PER_TASK = 200_000
+# Keys spread at most; any other key then has under 1 / MOST_HOT_KEYS of the rows.
+MOST_HOT_KEYS = 1_000
 
 
-def fits_in_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; the count stops beyond them."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_in_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the rows of ``df``, as text, have at most ``max_bytes``.
+
+    Reads no more rows than could fit, each counted with 16 bytes at least.
+    """
+    most = max_bytes // 16
+    size = F.sum(F.greatest(F.octet_length(F.to_json(F.struct("*"))), F.lit(16)))
+    rows, taken = df.limit(most + 1).agg(F.count("*"), size).first()
+    return rows <= most and (taken or 0) <= max_bytes
 
 
 def one_row_per_key(
@@ -32,9 +40,14 @@ def one_row_per_key(
     columns: Iterable[str],
     prefix: str,
     extra: Mapping[str, Column] | None = None,
+    repeats: bool = True,
 ) -> DataFrame:
     """``df`` reduced to one row per key: the smallest values win (NULL first).
 
+    Rows are reduced before and after the shuffle.  Where keys hardly repeat
+    (``repeats`` false) they are shuffled first and reduced once, which saves a
+    sort of all rows; the result is the same.
+
     Gives ``{prefix}key`` (or the named key columns), ``{prefix}<column>`` for
     each column, the aggregates in ``extra`` and ``{prefix}found``.
     """
@@ -44,6 +57,8 @@ def one_row_per_key(
     if columns:
         row = F.min(F.struct(*[F.col(c).alias(c) for c in columns])).alias("_row")
         aggregates.append(row)
+    if not repeats:
+        df = df.repartition(*keys.values())
     grouped = df.groupBy(*[value.alias(name) for name, value in keys.items()])
     reduced = grouped.agg(*aggregates) if aggregates else grouped.agg(F.lit(True).alias("_any"))
     return reduced.select(
@@ -61,20 +76,23 @@ class HotKeys:
     column: str
     values: Sequence = field(default_factory=tuple)
     nulls: bool = False
-    salts: int = SALTS
+    salts: int = 2
 
     @classmethod
-    def find(cls, df: DataFrame, column: str, share: float = HOT_SHARE, salts: int = SALTS):
-        """Values holding more than ``share`` of all rows: fewer than 1/share of them.
+    def find(
+        cls, df: DataFrame, column: str, rows_per_task: int = ROWS_PER_TASK, most: int = MOST_HOT_KEYS
+    ) -> HotKeys:
+        """The values with more than ``rows_per_task`` rows, the ``most`` frequent ones.
 
-        Reads one column and combines counts before the shuffle.
+        The most frequent one is spread so that a task gets ``rows_per_task`` of its
+        rows.  Reads one column and combines counts before the shuffle.
         """
-        counts = df.groupBy(column).count()
-        total = df.agg(F.count(F.lit(1))).scalar()
-        hot = counts.filter(F.col("count") > total * F.lit(share))
-        found = [row[0] for row in hot.select(column).collect()]
-        values = tuple(v for v in found if v is not None)
-        return cls(column, values, None in found, salts)
+        counts = df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+        hot = counts.filter(F.col("n") > rows_per_task).orderBy(F.desc("n"), "value").limit(most)
+        found = hot.collect()
+        values = tuple(row.value for row in found if row.value is not None)
+        salts = max(2, -(-found[0].n // rows_per_task)) if found else 2
+        return cls(column, values, len(values) < len(found), salts)
 
     def __bool__(self) -> bool:
         return bool(self.values) or self.nulls
@@ -139,8 +157,8 @@ def attach_small(
 ) -> DataFrame:
     """:func:`attach` for settings and rates, whose keys hold many accounts each.
 
-    The lookup is broadcast if a count shows that it is small; otherwise it is
-    joined by shuffle with the frequent keys spread.
+    The lookup is broadcast if its size, which is measured, is small; otherwise it
+    is joined by shuffle with the frequent keys spread.
     """
     if fits_in_broadcast(lookup):
         return df.join(F.broadcast(lookup), F.col(on) == F.col(key), "left").drop(key)
@@ -149,7 +167,7 @@ def attach_small(
 
 def spread_nulls(on: str) -> HotKeys:
     """For a key that is mostly NULL: no hot values, NULL rows spread over tasks."""
-    return HotKeys(on, nulls=True)
+    return HotKeys(on, nulls=True, salts=64)
 
 
 def missing_from(candidates: DataFrame, known: DataFrame, key: Column, known_key: Column):

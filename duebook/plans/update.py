@@ -85,10 +85,13 @@ def upsert(
     return joined.select(*columns)
 
 
-def with_surrogate_key(rows: DataFrame, history: DataFrame | None, column: str = "autoid"):
-    """Unique ids above the largest one in ``history``; not contiguous."""
-    base = F.lit(0)
-    if history is not None:
+def with_surrogate_key(rows: DataFrame, history: DataFrame | int | None, column: str = "autoid"):
+    """Unique ids above the largest one in ``history``; not contiguous.
+
+    ``history`` may be that largest id itself, so that no table is read.
+    """
+    base = F.lit(history if isinstance(history, int) else 0)
+    if history is not None and not isinstance(history, int):
         base = F.coalesce(history.agg(F.max(column)).scalar(), F.lit(0))
     return rows.withColumn(column, (base + F.monotonically_increasing_id() + 1).cast("long"))
 

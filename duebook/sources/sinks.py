@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 DAY_PARTITION = ("working_day",)
+COMMITS, COMMIT = "commits", "largest_id long, name string"
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = DAY_PARTITION) -> None:
@@ -41,8 +43,23 @@ def publish(outputs: Mapping[str, DataFrame], root: str, tables: Sequence[str] =
     Rows of other days, of other product groups and, in the event log, those that
     the close kept stay.  Publishing a close twice gives the same tables.
     """
+    root = root.rstrip("/")
     for name in tables:
-        overwrite_slices(outputs[name], f"{root.rstrip('/')}/{name}", SLICES[name])
+        rows, seen = outputs[name], Observation(name)
+        if "autoid" in rows.columns:
+            rows = rows.observe(seen, F.max(F.col("autoid").cast("long")).alias("largest_id"))
+        overwrite_slices(rows, f"{root}/{name}", SLICES[name])
+        if "autoid" in rows.columns and seen.get["largest_id"] is not None:
+            spark = rows.sparkSession
+            commit = spark.createDataFrame([(seen.get["largest_id"], name)], COMMIT)
+            append(commit, f"{root}/{COMMITS}", ["name"])
+
+
+def largest_ids(spark: SparkSession, root: str) -> dict[str, int]:
+    """The largest id of each table that was published; reads one row per commit."""
+    commits = spark.read.schema(COMMIT).parquet(f"{root.rstrip('/')}/{COMMITS}")
+    found = commits.groupBy("name").agg(F.max("largest_id").alias("largest")).collect()  # a row for each table
+    return {r["name"]: r["largest"] for r in found if r["largest"] is not None}
 
 
 def write_version(df: DataFrame, path: str, version: str) -> str:

@@ -120,7 +120,7 @@ def test_contagion_of_a_customer_with_most_accounts(spark, days):
         (F.col("id_product").cast("int") % 2).cast("string").alias("secured_flag"),
     )
     t01 = t17.select(F.col("customer_number").alias("nrp_customer"), F.lit("PI").alias("customer_segment")).distinct()
-    hot = HotKeys.find(t17, "customer_number")
+    hot = HotKeys.find(t17, "customer_number", rows_per_task=50)
     assert hot.values == ("big",)
     for mode, changed in ((OBSERVED, "0"), (INTENDED, "1")):
         for keys in (None, hot):

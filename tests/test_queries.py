@@ -9,7 +9,6 @@ from checks.registry import QUERIES, Context
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
-ONE_OF_A_KIND = [n for n in QUERIES if not n.startswith(("d50b", "d50c", "d50d", "d50g", "d50i", "d4", "w3", "w4"))]
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +21,7 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", ONE_OF_A_KIND)
+@pytest.mark.parametrize("name", QUERIES)
 def test_same_rows(name, context, duck):
     query = QUERIES[name]
     assert rows_of_spark(query.present(query.run(context))) == rows_of_duckdb(duck, query.oracle())

@@ -1,6 +1,9 @@
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
-from duebook.plans.lineage import cut, shared_folder
+from duebook.plans.lineage import Intermediate, shared_folder
 from duebook.plans.lookups import (
     HotKeys,
     attach,
@@ -28,9 +31,14 @@ def customers(spark):
 
 
 def test_hot_keys_are_few_and_exact(spark):
-    hot = HotKeys.find(accounts(spark), "c")
+    df = accounts(spark)
+    nulls = df.filter("c is null").count()
+    hot = HotKeys.find(df, "c", rows_per_task=nulls - 1)
     assert hot.values == ("hot",) and hot.nulls and bool(hot)
-    assert not HotKeys.find(accounts(spark).filter("c <> 'hot'"), "c")
+    assert not HotKeys.find(df, "c", rows_per_task=nulls).nulls  # just at the limit
+    assert HotKeys.find(df, "c", rows_per_task=100).salts == 20  # 2000 rows, 100 to a task
+    assert not HotKeys.find(df.filter("c <> 'hot'"), "c", rows_per_task=nulls)
+    assert len(HotKeys.find(df, "c", rows_per_task=1, most=7).values) <= 7
 
 
 def test_spread_join_gives_the_same_rows(spark):
@@ -53,15 +61,49 @@ def test_hot_rows_reach_several_salts(spark):
     assert len(sizes) == 8 and max(sizes) < 2 * min(sizes)
 
 
-def test_broadcast_only_after_a_count(spark):
+def test_largest_task_is_bounded(spark):
+    """A key far over the limit: equal rows, and no salt with much over the limit."""
+    df = accounts(spark)
+    hot = HotKeys.find(df, "c", rows_per_task=250)
+    spread = spread_rows(df, hot, "id_product").groupBy("c", hot.salt_column).count()
+    assert max(r["count"] for r in spread.collect()) < 1.3 * 250
     lookup = customers(spark)
-    assert fits_in_broadcast(lookup) and not fits_in_broadcast(lookup, 10)
+    got = attach(df, lookup, "c", "l_key", "id_product", hot)
+    assert got.exceptAll(attach(df, lookup, "c", "l_key")).isEmpty() and got.count() == df.count()
+
+
+def test_lookups_shuffled_once_are_the_same(spark):
+    known = spark.range(300).selectExpr("cast(id % 250 as string) as k", "id as v")
+    plain, once = (one_row_per_key(known, "k", ["v"], "l_", repeats=r) for r in (True, False))
+    assert sorted(plain.collect()) == sorted(once.collect())
+    text = once._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Sort" not in text[text.index("Exchange") :]  # the exchange has no sort below it
+
+
+def test_broadcast_only_after_a_measure(spark):
+    lookup = customers(spark)
+    assert fits_in_broadcast(lookup) and not fits_in_broadcast(lookup, 10_000)
+    wide = spark.range(10).selectExpr("repeat('x', 2000) as x")
+    assert fits_in_broadcast(wide, 30_000) and not fits_in_broadcast(wide, 15_000)
     small = attach_small(accounts(spark), lookup, "c", "l_key")
     assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
 
 
-def test_cut_uses_the_shared_folder(spark):
-    df = cut(accounts(spark), "accounts")
+def test_intermediate_tables_in_the_shared_folder(spark):
+    keep = Intermediate()
+    df = keep(accounts(spark), "accounts")
     assert df.count() == 6000
     assert all(f.startswith(("file:" + shared_folder(spark), "file://" + shared_folder(spark))) for f in df.inputFiles())
     assert spark.conf.get("spark.sql.codegen.maxFields") == "100"
+    path = keep.paths[0][1].removeprefix("file://")
+    assert os.path.isdir(path)
+    keep.clear()
+    assert not os.path.exists(path) and not keep.paths
+
+
+def test_a_missing_folder_is_an_error(spark):
+    class Bare:
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Bare())
