@@ -22,6 +22,7 @@ from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -273,15 +274,18 @@ class Pieces:
         sent = self._sent
 
         def batches(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            raw = sent.value[0]
+            raw = np.array(sent.value[0], dtype=object)
             for column in columns:
-                yield pa.array([decoded(x, raw) if x is not None else None for x in column.to_pylist()], pa.string())
+                flat, ends = np.asarray(column.flatten()), np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(column), 0)))
+                starts = np.concatenate([[0], ends])
+                texts = [decoded(flat[a:b], raw) if known else None for a, b, known in zip(starts, ends, column.is_valid().to_pylist(), strict=False)]
+                yield pa.array(texts, pa.string())
 
         return F.arrow_udf(batches, "string")(ids)
 
 
-def decoded(ids: list[int], raw: list[bytes]) -> str:
-    return b"".join(map(raw.__getitem__, ids)).decode("utf-8", "replace").removeprefix(" ")
+def decoded(ids: np.ndarray, raw: np.ndarray) -> str:
+    return b"".join(raw[ids].tolist()).decode("utf-8", "replace").removeprefix(" ")
 
 
 def sampled_pieces(docs: DataFrame, path: str = MODEL, alpha: float = ALPHA, seed: int = SEED) -> DataFrame:
