@@ -6,6 +6,7 @@ from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 @dataclass(frozen=True)
@@ -39,9 +40,22 @@ class Tables(Mapping):
         return len(self._names)
 
 
-def parquet_tables(spark: SparkSession, root: str, names=()) -> Tables:
-    """Tables stored as ``root/<name>``; history tables partitioned by working day."""
-    return Tables(lambda name: spark.read.parquet(f"{root.rstrip('/')}/{name}"), names)
+def parquet_tables(
+    spark: SparkSession, root: str, names=(), schemas: Mapping[str, StructType] | None = None
+) -> Tables:
+    """Tables stored as ``root/<name>``; history tables partitioned by working day.
+
+    With ``schemas`` (such as :data:`duebook.schema.TABLES`) files are not opened to
+    infer columns; columns beyond a table's schema are then not read.
+    """
+
+    def read(name: str) -> DataFrame:
+        reader = spark.read
+        if schemas and name in schemas:
+            reader = reader.schema(schemas[name])
+        return reader.parquet(f"{root.rstrip('/')}/{name}")
+
+    return Tables(read, names)
 
 
 def catalog_tables(spark: SparkSession, database: str, names=()) -> Tables:

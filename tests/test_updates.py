@@ -1,8 +1,10 @@
 import datetime
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks.bank import Bank
 from duebook.functions.calendar import CloseDays
 from duebook.operators.default import ROW_DAY, TRIGGERS, customer_events, earliest_day, row_day_products
 from duebook.plans.update import (
@@ -13,7 +15,7 @@ from duebook.plans.update import (
     upsert,
     with_surrogate_key,
 )
-from duebook.schema import SNAPSHOT, error_snapshot
+from duebook.schema import SNAPSHOT, TABLES, error_snapshot
 from duebook.sources.sinks import SLICES, append, largest_ids, overwrite_slices, publish, write_version
 from duebook.sources.tables import parquet_tables
 
@@ -128,3 +130,18 @@ def test_trigger_events_are_read_by_day(spark, tmp_path):
         filters = df._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("PushedFilters")[0]
         assert "working_day" in filters and ">=" in filters
     assert customer_events(events, days, earliest_day(accounts)).first().trig_is_indebtedness > today
+
+
+def test_declared_schemas(spark, tmp_path):
+    """They hold the columns of the derived tables, and reading with them infers nothing."""
+    bank = Bank(spark, "/root/testdata/sf0.001") if os.path.isdir("/root/testdata/sf0.001") else {}
+    for name, schema in TABLES.items():
+        names = dict(zip(schema.names, (f.dataType for f in schema)))
+        for f in bank[name].schema if bank else ():
+            assert f.name in names and (names[f.name] == f.dataType or name in STORED_AS_DOUBLE), (name, f)
+    rows = spark.createDataFrame([("a", 5.0)], "id_product string, overwritten_ecl double")
+    rows.write.parquet(f"{tmp_path}/vw_unwinding")
+    assert rows.exceptAll(parquet_tables(spark, str(tmp_path), schemas=TABLES)["vw_unwinding"]).isEmpty()
+
+
+STORED_AS_DOUBLE = ("t14_unwinding", "t17_dpd_credit_cards", "atmp_t18_cc_payment_schedule")
