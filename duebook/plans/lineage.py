@@ -9,9 +9,18 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 
+_named: dict[str, str] = {}  # by application
+
+
+def name_folder(spark: SparkSession, folder: str) -> None:
+    """The shared folder of a session that was started without ``spark.checkpoint.dir``."""
+    _named[spark.sparkContext.applicationId] = folder
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the driver and all executors share."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = folder or _named.get(spark.sparkContext.applicationId)
     if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return folder.rstrip("/")

@@ -1,9 +1,10 @@
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
-from duebook.plans.lineage import Intermediate, shared_folder
+from duebook.plans.lineage import Intermediate, name_folder, shared_folder
 from duebook.plans.lookups import (
     HotKeys,
     attach,
@@ -104,6 +105,9 @@ def test_intermediate_tables_in_the_shared_folder(spark):
 def test_a_missing_folder_is_an_error(spark):
     class Bare:
         conf = {}
+        sparkContext = SimpleNamespace(applicationId="bare")
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Bare())
+    name_folder(Bare(), "/shared/")
+    assert shared_folder(Bare()) == "/shared"
