@@ -31,8 +31,8 @@ ALPHA = 0.7
 SEED = 2026
 _MARK = "▁"
 _RUN = re.compile(r" *[^ ]+| +", re.DOTALL)
-_AT_ONCE = 1 << 22  # characters
-_KEPT = 1 << 23  # edges of known runs
+_AT_ONCE = 1 << 20  # characters
+_KEPT = 1 << 22  # edges of known runs
 _NONE = -(1 << 31)
 
 
@@ -163,6 +163,20 @@ class Lattice:
         self.tables = tuple(np.concatenate(x) for x in zip(self.tables, (keys + self.chars, length, ids), strict=True))
         self.chars += n
 
+    def all(self, texts: pa.Array, keys: pa.Array, seed: int) -> tuple[np.ndarray, np.ndarray]:
+        """:meth:`sample` of a column, some texts at once."""
+        seeds = row_seeds(np.asarray(keys.fill_null(0)), seed)
+        found, sizes, part, chars, first = [], [], [], 0, 0
+        for i, text in enumerate(texts):
+            part.append(text.as_py() or "")
+            chars += len(part[-1])
+            if chars >= _AT_ONCE or i + 1 == len(texts):
+                ids, each = self.sample(part, seeds[first : i + 1])
+                found.append(ids)
+                sizes.append(each)
+                part, chars, first = [], 0, i + 1
+        return (np.concatenate(found), np.concatenate(sizes)) if found else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+
     def sample(self, texts: list[str], seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids of each text)."""
         runs = [_RUN.findall(" " + text) if text else [] for text in texts]
@@ -252,23 +266,27 @@ class Pieces:
             _, pieces, of_byte = sent.value
             lattice = Lattice(pieces, of_byte, alpha)
             for texts, keys in columns:
-                seeds = row_seeds(np.asarray(keys.fill_null(0)), seed)
-                found, sizes, part, chars, first = [], [], [], 0, 0
-                plain = texts.to_pylist()
-                for i, text in enumerate(plain):
-                    part.append(text or "")
-                    chars += len(part[-1])
-                    if chars >= _AT_ONCE or i + 1 == len(plain):
-                        ids, each = lattice.sample(part, seeds[first : i + 1])
-                        found.append(ids)
-                        sizes.append(each)
-                        part, chars, first = [], 0, i + 1
-                sizes = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
-                offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), mask=np.append(np.asarray(texts.is_null()), False))
-                yield pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(found) if found else np.zeros(0, np.int32)))
+                yield _as_lists(*lattice.all(texts, keys, seed), texts)
 
         return F.arrow_udf(batches, "array<int>")(text.cast("string"), key.cast("long"))
 
+    def round_trip(self, text: Column, key: Column, alpha: float = ALPHA, seed: int = SEED) -> Column:
+        """``ids`` as :meth:`encode` gives them, and ``lossless``: whether they decode to
+        the text.  Both in one visit to Python."""
+        sent = self._sent
+
+        def batches(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+            raw, pieces, of_byte = sent.value
+            raw = np.array(raw, dtype=object)
+            lattice = Lattice(pieces, of_byte, alpha)
+            for texts, keys in columns:
+                found, sizes = lattice.all(texts, keys, seed)
+                ends = np.cumsum(sizes)
+                same = [decoded(found[e - n : e], raw) == (t.as_py() or "") for t, n, e in zip(texts, sizes, ends, strict=True)]
+                yield pa.StructArray.from_arrays([_as_lists(found, sizes, texts), pa.array(same, pa.bool_())], ["ids", "lossless"])
+
+        return F.arrow_udf(batches, "struct<ids: array<int>, lossless: boolean>")(text.cast("string"), key.cast("long"))
+
     def decode(self, ids: Column) -> Column:
         """The text whose ids these are; null for null."""
         sent = self._sent
@@ -284,6 +302,11 @@ class Pieces:
         return F.arrow_udf(batches, "string")(ids)
 
 
+def _as_lists(found: np.ndarray, sizes: np.ndarray, texts: pa.Array) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets, mask=np.append(np.asarray(texts.is_null()), False)), pa.array(found))
+
+
 def decoded(ids: np.ndarray, raw: np.ndarray) -> str:
     return b"".join(raw[ids].tolist()).decode("utf-8", "replace").removeprefix(" ")
 
@@ -296,7 +319,6 @@ def sampled_pieces(docs: DataFrame, path: str = MODEL, alpha: float = ALPHA, see
     empty array.  Equal rows are cut alike; an empty table gives an empty table.
     """
     pieces = Pieces(docs.sparkSession, path)
-    text = F.col("text").cast("string")
-    cut = docs.select("doc_id", text.alias("text"), pieces.encode(text, F.col("doc_id"), alpha, seed).alias("ids"))
-    same = pieces.decode(F.col("ids")).eqNullSafe(F.col("text"))
-    return cut.select("doc_id", "ids", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"), same.alias("lossless"))
+    cut = docs.select("doc_id", pieces.round_trip(F.col("text"), F.col("doc_id"), alpha, seed).alias("cut"))
+    n = F.coalesce(F.size("cut.ids"), F.lit(0)).cast("long")
+    return cut.select("doc_id", "cut.ids", n.alias("n_pieces"), "cut.lossless")

@@ -242,3 +242,10 @@ def test_segmentations_have_their_probabilities():
 def test_hashes_follow_code_points(length):
     a, b = pieces._points("xyzabcdefghijklmnopq"), pieces._points("abcdefghijklmnopqrst")
     assert (pieces._hashes(a, length)[3 : 3 + 18 - length] == pieces._hashes(b, length)[: 18 - length]).all()
+
+
+def test_decode_on_a_cluster(spark):
+    sent = pieces.Pieces(spark)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)] + [(99, None)], "doc_id long, text string")
+    cut = df.select("text", sent.encode(F.col("text"), F.col("doc_id")).alias("ids"))
+    assert all(r.text == r.back for r in cut.select("text", sent.decode(F.col("ids")).alias("back")).collect())
