@@ -3,13 +3,15 @@
 A vector is rotated at random (three rounds of random signs and a fast Hadamard
 transform) and hashed to the nearest of the ``2 * dim`` signed axes; a bucket is
 the hash of several rotations (Andoni et al., "Practical and Optimal LSH for
-Angular Distance", 2015).  Each of ``TABLES`` tables holds a vector once; it also
-probes the buckets in which one of its hashes is the second nearest axis.  Pairs
-that meet are compared exactly, in double precision.
+Angular Distance", 2015).  Each table holds a vector once; it also probes the
+buckets in which one of its hashes is the second nearest axis.  Pairs that meet are
+compared exactly, in double precision.
 
 Equal vectors are one node with a count, so copies cost nothing beyond it.  The
-number of rotations per bucket follows the logarithm of the number of nodes, so
-the vectors met by chance do not grow with it.
+number of rotations per bucket follows the logarithm of the number of nodes, rounded
+up, so there are at least as many buckets as nodes and a vector meets no more by
+chance as their number grows.  The number of tables follows the rotations, so that a
+pair at the least cosine is missed in about one of ``1 / MISSED`` cases.
 """
 
 from __future__ import annotations
@@ -27,10 +29,19 @@ from .common import Scratch, tasks
 from .components import components
 
 COSINE = 0.95
-TABLES = 8
+MISSED = 0.005
+LEAST_TABLES = 6
+# Measured share of pairs at cosine 0.95 that meet in a table of one rotation, with
+# probes, and what each further rotation leaves of it (64 dimensions).
+MEET, MEET_FURTHER = 0.95, 0.72
 SEED = 20261
 
 
+def tables_for(rotations: int) -> int:
+    meet = MEET * MEET_FURTHER ** (rotations - 1)
+    return max(LEAST_TABLES, math.ceil(math.log(MISSED) / math.log(1 - meet)))
+
+
 def hadamard(x: np.ndarray) -> np.ndarray:
     """Fast Walsh-Hadamard transform of the rows; their length is a power of two."""
     rows, width = x.shape
@@ -69,6 +80,8 @@ def bucket_codes(vectors: np.ndarray, tables: int, rotations: int, seed: int = S
 
 
 def _hashes(rotations: int):
+    tables = tables_for(rotations)
+
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, dims = np.asarray(batch["node"]), np.asarray(batch["dim"])
@@ -76,7 +89,7 @@ def _hashes(rotations: int):
             for dim in np.unique(dims):
                 here = np.flatnonzero(dims == dim)
                 x = np.asarray(vectors.take(pa.array(here)).flatten(), dtype=np.float64).reshape(len(here), dim)
-                codes = bucket_codes(x / np.abs(x).max(axis=1, keepdims=True), TABLES, rotations)
+                codes = bucket_codes(x / np.abs(x).max(axis=1, keepdims=True), tables, rotations)
                 n, t, p = codes.shape
                 columns = [
                     pa.array(np.repeat(nodes[here], t * p)),
@@ -117,7 +130,7 @@ def embedding_links(nodes: DataFrame, least: float = COSINE) -> DataFrame:
     wide = nodes.select("node", "embedding", F.size("embedding").alias("dim"))
     n, dim = nodes.agg(F.count("*"), F.max(F.size("embedding"))).first()
     width = 1 << max(0, ((dim or 1) - 1).bit_length())
-    rotations = max(1, round(math.log(max(n, 2)) / math.log(2 * width)))
+    rotations = max(1, math.ceil(math.log(max(n, 2)) / math.log(2 * width)))
     hashed = scratch.cut(wide.repartition(tasks(nodes.sparkSession), "node").mapInArrow(_hashes(rotations), "node long, dim int, tab int, bucket long, own boolean"))
     own = hashed.where("own").select("dim", "tab", "bucket", F.col("node").alias("p"))
     probe = hashed.select("dim", "tab", "bucket", F.col("node").alias("q"))
