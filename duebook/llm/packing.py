@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, n_tasks_for, words
 
 CAPACITY = 4096
-SHARD = 1 << 21
+SHARD = 1 << 18
 
 _OUT = "shard int, bin int, slot int, doc_id bigint, piece int, first_word bigint, n_words bigint, source string, cluster bigint"
 
