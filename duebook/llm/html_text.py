@@ -5,9 +5,11 @@ text blocks.  Tokens with equal occurrence vectors (how often on which of the
 host's pages) form an equivalence class; classes on enough pages are the template
 of the host, nested by the places of their tags (Arasu and Garcia-Molina,
 "Extracting Structured Data from Web Pages", 2003).  What a page has in the
-template's slots is left: text blocks of the template itself are navigation,
-notices and the like, and among the template's containers the one that holds the
-most slot text is where pages without ``article`` or ``main`` carry their text.
+template's slots is left, in an ``article`` too: text blocks of the template itself
+are navigation, notices and the like, and among the template's containers the one
+that holds the most slot text is where pages carry their text.  ``article`` and
+``main`` are a hint: text in them counts ``HINT`` times when containers are compared,
+the one around the container belongs to it, and they decide where no template does.
 
 Occurrence vectors are never built: tokens of a host are compared by the 128-bit
 sum of a hash of (page, count) over pages, which is summed before and after the
@@ -20,6 +22,7 @@ import html as entities
 import re
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -30,6 +33,7 @@ from .url_filter import host_and_path
 
 LEAST_PAGES = 4
 LEAST_SHARE = 0.9
+HINT = 2
 
 # HTML's names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -64,21 +68,24 @@ _TOKEN = re.compile(
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 _PART = re.compile(r"[^a-z]+")
+_NUMBER = re.compile(r"[0-9]{2,}")
 
 
 def _beside(attributes: str) -> bool:
     return any(part in BESIDE for found in _NAMES.findall(attributes) for part in _PART.split("".join(found).lower()))
 
 
-def blocks(page: str | None) -> Iterator[tuple[str, bool, bool, str]]:
-    """(place, dropped, in main, text) of each tag that opens (text empty) and of each
+def blocks(page: str | None) -> Iterator[tuple[str, bool, str, str]]:
+    """(place, dropped, main, text) of each tag that opens (text empty) and of each
     text block, in page order.
 
-    A place is the path of open elements with their classes.  White space in a block
-    becomes one space, character references are decoded.
+    A place is the path of open elements with their classes, in which numbers of two
+    digits and more are alike (``post-17``).  ``main`` is the place of the innermost
+    ``article`` around, else of ``main``, else empty.  White space in a block becomes
+    one space, character references are decoded.
     """
     page = page or ""
-    stack: list[tuple[str, str, bool, bool]] = []  # name, place, dropped, main
+    stack: list[tuple[str, str, bool, str]] = []  # name, place, dropped, main
     text: list[str] = []
 
     def flush():
@@ -86,7 +93,7 @@ def blocks(page: str | None) -> Iterator[tuple[str, bool, bool, str]]:
         text.clear()
         return said
 
-    at, here = 0, ("", "", False, False)
+    at, here = 0, ("", "", False, "")
     end = len(page)
     while at < end:
         m = _TOKEN.search(page, at)
@@ -104,7 +111,7 @@ def blocks(page: str | None) -> Iterator[tuple[str, bool, bool, str]]:
                     yield here[1], here[2], here[3], said
             if depth is not None and not (name in INLINE and any(x[0] not in INLINE for x in stack[depth + 1 :])):
                 del stack[depth:]
-                here = stack[-1] if stack else ("", "", False, False)
+                here = stack[-1] if stack else ("", "", False, "")
             continue
         if name not in INLINE:
             if said := flush():
@@ -117,22 +124,21 @@ def blocks(page: str | None) -> Iterator[tuple[str, bool, bool, str]]:
                 depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in SAME[name] or stack[i][0] in ("ul", "ol", "dl", "table")), None)
                 if depth is not None and stack[depth][0] in SAME[name]:
                     del stack[depth:]
-            here = stack[-1] if stack else ("", "", False, False)
+            here = stack[-1] if stack else ("", "", False, "")
         elif name == "br":
             text.append(" ")
         attributes = m[3] or m[6] or ""
         if name in VOID:
             continue
-        main = here[3] or (name in MAIN and not here[2]) or bool(re.search(r"role\s*=\s*[\"']?main\b", attributes))
+        kind = "" if name in INLINE else _NUMBER.sub("#", " ".join(sorted(x for found in _NAMES.findall(attributes) for x in "".join(found).split())))
+        place = here[1] if name in INLINE else f"{here[1]}/{name}" + f"[{kind}]" * bool(kind)
+        opens = (name in MAIN and not here[2]) or bool(re.search(r"role\s*=\s*[\"']?main\b", attributes))
+        main = place if opens and (name == "article" or not here[3]) else here[3]
         dropped = here[2] or name in DROPPED or (name == "header" and not here[3]) or (name not in ("html", "body", *MAIN) and _beside(attributes))
         if name == "article" and here[3] and _beside(attributes):
             dropped = True
         if name not in INLINE:
-            kind = " ".join(sorted(x for found in _NAMES.findall(attributes) for x in "".join(found).split()))
-            place = f"{here[1]}/{name}" + f"[{kind}]" * bool(kind)
             yield place, dropped, main, ""
-        else:
-            place = here[1]
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.IGNORECASE).search(page, at)
             at = close.start() if close else end
@@ -145,22 +151,31 @@ def blocks(page: str | None) -> Iterator[tuple[str, bool, bool, str]]:
         yield here[1], here[2], here[3], said
 
 
+def _mark(text: str) -> str:
+    """What stands for a text block among the tokens: 128 bits, so that no texts are moved."""
+    return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each distinct token of a page, with its count and the length of the text
-    blocks of which it is the parent."""
+    """Each distinct token of a page, with its count and the length of the text: of the
+    blocks of which a tag is the parent (``HINT`` times in an article), of a block itself."""
     for batch in batches:
         out: list[tuple] = []
         for host, key, page in zip(*(batch[c].to_pylist() for c in ("host", "key", "html")), strict=True):
             counts: Counter = Counter()
             size: Counter = Counter()
             for place, dropped, main, text in blocks(page):
-                counts[(place, "" if dropped or main else text)] += not (text and (dropped or main))
-                if text and not dropped:
-                    size[(place.rpartition("/")[0], "")] += len(text)
-            out += [(host, key, *token, size[token], n) for token, n in counts.items() if n]
+                if not text:
+                    counts[(place, "")] += 1
+                elif not dropped:
+                    token, long = (place, _mark(text)), len(text) * (HINT if main else 1)
+                    counts[token] += 1
+                    size[token] += long
+                    size[(place.rpartition("/")[0], "")] += long
+            out += [(host, key, *token, size[token], n) for token, n in counts.items()]
         columns = list(zip(*out, strict=True)) if out else [()] * 6
         kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["host", "key", "place", "text", "size", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["host", "key", "place", "mark", "size", "n"])
 
 
 def templates(pages: DataFrame) -> DataFrame:
@@ -170,28 +185,45 @@ def templates(pages: DataFrame) -> DataFrame:
     ``pages`` has host, key (of a page) and html.
     """
     scratch = Scratch(pages.sparkSession)
-    tokens = pages.mapInArrow(_tokens, "host string, key long, place string, text string, size long, n long")
+    tokens = pages.mapInArrow(_tokens, "host string, key long, place string, mark string, size long, n long")
     vector = [F.sum(F.xxhash64(F.lit(i), "key", "n").cast("decimal(38,0)")).alias(v) for i, v in enumerate("vw")]
-    found = scratch.cut(tokens.groupBy("host", "place", "text").agg(*vector, F.count("*").alias("pages"), F.sum("size").alias("size")))
+    counted = tokens.groupBy("host", "place", "mark").agg(*vector, F.count("*").alias("pages"), F.sum("size").alias("size"))
+    found = scratch.cut(counted.where(F.col("pages") >= LEAST_SHARE * LEAST_PAGES))  # fewer are often on no host
     hosts = found.groupBy("host").agg(F.max("pages").alias("of_host")).where(F.col("of_host") >= LEAST_PAGES)
-    classes = found.groupBy("host", "v", "w").agg(F.count("*").alias("members"), F.max((F.col("text") == "").cast("int")).alias("tags"))
+    # Tokens of one vector are on as many pages, so what is seldom goes before classes are formed.
+    often = scratch.cut(found.join(hosts, "host").where(F.col("pages") >= LEAST_SHARE * F.col("of_host")))
+    classes = often.groupBy("host", "v", "w").agg(F.count("*").alias("members"), F.max((F.col("mark") == "").cast("int")).alias("tags"))
     classes = classes.where("members > 1 and tags = 1")  # a class that nests: with a tag and something beside it
-    often = found.join(hosts, "host").where(F.col("pages") >= LEAST_SHARE * F.col("of_host"))
     valid = scratch.cut(often.join(classes.select("host", "v", "w"), ["host", "v", "w"]))
-    slot = F.max(F.when(F.col("text") == "", F.struct("size", "place"))).alias("slot")
-    said = F.collect_set(F.when(F.col("text") != "", F.concat("place", F.lit("\n"), "text"))).alias("said")
-    return scratch.cut(valid.groupBy("host").agg(said, slot).select("host", "said", F.when(F.col("slot.size") > 0, F.col("slot.place")).alias("container")))
+    parent = F.when(F.col("mark") == "", F.col("place")).otherwise(F.regexp_replace("place", "/[^/]*$", ""))
+    own = F.when(F.col("mark") == "", F.col("size")).otherwise(-F.col("size"))  # slot text: all text without the template's
+    slots = valid.groupBy("host", parent.alias("place")).agg(F.sum(own).alias("size"), F.max((F.col("mark") == "").cast("int")).alias("tags"))
+    slots = slots.where("tags = 1").groupBy("host").agg(F.max(F.struct("size", "place")).alias("slot"))
+    said = F.collect_set(F.when(F.col("mark") != "", F.concat("place", F.lit("\n"), "mark"))).alias("said")
+    known = valid.groupBy("host").agg(said).join(slots, "host", "left")
+    return scratch.cut(known.select("host", "said", F.when(F.col("slot.size") > 0, F.col("slot.place")).alias("container")))
 
 
 def extract(page: str | None, said: list[str] | None, container: str | None) -> str:
-    """The main text: blocks in ``article`` or ``main`` where a page has them; else
-    those in the host's container, or in the whole page, that are not template."""
-    left = [(place, main, text) for place, dropped, main, text in blocks(page) if text and not dropped]
-    if any(main for _, main, _ in left):
-        return "\n\n".join(text for _, main, text in left if main)
+    """The main text: the blocks that are not template, in the host's container and
+    the ``article`` or ``main`` around it.  A page with nothing there gives those in
+    its own ``article`` or ``main``, else all; a page that is template throughout, as
+    all pages of a host of copies are, is read without one."""
+    all_left = [(place, main, text) for place, dropped, main, text in blocks(page) if text and not dropped]
     known = set(said or ())
-    inner = [text for place, _, text in left if container and (place == container or place.startswith(container + "/")) and f"{place}\n{text}" not in known]
-    return "\n\n".join(inner or [text for place, _, text in left if f"{place}\n{text}" not in known])
+    left = [x for x in all_left if f"{x[0]}\n{_mark(x[2])}" not in known] if known else all_left
+    left = left or all_left
+
+    def within(place: str, outer: str) -> bool:
+        return place == outer or place.startswith(outer + "/")
+
+    if container:
+        around = {main for place, main, _ in left if main and within(place, container) and within(container, main)}
+        outer = min(around, key=len, default=container)
+        inner = [text for place, _, text in left if within(place, outer)]
+        if inner:
+            return "\n\n".join(inner)
+    return "\n\n".join([text for _, main, text in left if main] or [text for _, _, text in left])
 
 
 def _extracted(pages: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:

@@ -42,6 +42,24 @@ def test_template_of_a_host(spark):
     assert html_text.main_text(df.limit(0)).count() == 0
 
 
+def test_template_in_articles(spark):
+    """What a host repeats inside its articles goes, whatever its class; so do teasers
+    that are articles beside the container, and copies of one page keep their text."""
+    def page(i):
+        teaser = f"<article><p>see {i}</p></article>" if i % 2 else ""
+        return (
+            f"<html><body><article id=post-{10 + i}><h1>Title {i}</h1><p>Share this story</p><div class=lead><p>Body of {i}, long enough</p><p>More {i * i}</p></div>"
+            f"<p class=x>Read our letter</p></article><div class=cards>{teaser}</div></body></html>"
+        )
+    rows = [(i, f"http://h.example.org/{i}", page(i)) for i in range(9)]
+    rows += [(100 + i, f"http://copies.example.org/{i}", page(1)) for i in range(5)]
+    rows += [(200, "http://few.example.org/", page(3))]
+    got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(9):
+        assert got[i] == f"Title {i}\n\nBody of {i}, long enough\n\nMore {i * i}"
+    assert "Body of 1, long enough" in got[100] and "Share this story" in got[200]
+
+
 def test_pages_hold_their_documents(spark):
     """On the given tables the article is a heading and the lines of a document."""
     folder = "/root/testdata/sf0.01"
