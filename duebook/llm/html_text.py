@@ -21,7 +21,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -43,7 +43,7 @@ INLINE = frozenset(
     "small span strike strong sub sup time tt u var wbr".split()
 )
 DROPPED = frozenset(
-    "head script style noscript template iframe svg canvas object nav footer aside form button select textarea "
+    "head script style noscript template iframe svg canvas object nav footer aside button select textarea "
     "input dialog menu title option datalist video audio".split()
 )
 MAIN = frozenset(("article", "main"))
@@ -52,7 +52,9 @@ ENDS_P = frozenset(
     "h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()
 )
 SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
-# Words in class, id and role that name something beside the article.
+# Words in class, id and role that name something beside the article, but not after one
+# of NOT_ITSELF in the same name: "page-with-sidebar" is no sidebar.
+NOT_ITSELF = frozenset("has have with without no not".split())
 BESIDE = frozenset(
     "ad ads adv advert adverts advertisement banner sponsor sponsored promo promotion cookie cookies consent gdpr "
     "notice notices alert popup modal overlay nav navbar navigation menu breadcrumb breadcrumbs sidebar side aside "
@@ -72,20 +74,55 @@ _NUMBER = re.compile(r"[0-9]{2,}")
 
 
 def _beside(attributes: str) -> bool:
-    return any(part in BESIDE for found in _NAMES.findall(attributes) for part in _PART.split("".join(found).lower()))
+    for found in _NAMES.findall(attributes):
+        for name in "".join(found).lower().split():
+            for part in _PART.split(name):
+                if part in NOT_ITSELF:
+                    break
+                if part in BESIDE:
+                    return True
+    return False
 
 
-def blocks(page: str | None) -> Iterator[tuple[str, bool, str, str]]:
+def blocks(page: str | None, known: Set[str] = frozenset()) -> Iterator[tuple[str, int, str, str]]:
     """(place, dropped, main, text) of each tag that opens (text empty) and of each
     text block, in page order.
 
+    ``dropped`` is 2 in what never holds the article (``DROPPED``), 1 in a form or an
+    element that a name marks as beside it, else 0.  Where no article or main has text
+    outside of marked elements, one that holds an article or main, or more than half
+    of the page's text that is not ``known`` template, is a wrapper and not dropped.
+
     A place is the path of open elements with their classes, in which numbers of two
     digits and more are alike (``post-17``).  ``main`` is the place of the innermost
     ``article`` around, else of ``main``, else empty.  White space in a block becomes
     one space, character references are decoded.
     """
-    page = page or ""
-    stack: list[tuple[str, str, bool, str]] = []  # name, place, dropped, main
+    around: list[int] = [0]  # of each marked element, the next one outside
+    holds: set[int] = {0}  # marked elements with an article or main
+    read = list(_parsed(page or "", around, holds))
+    if len(around) > 1:
+        size = [0] * len(around)
+        main_outside = False
+        for place, never, marked, main, text in read:
+            if text and not never and _said(place, text) not in known:
+                main_outside |= bool(main) and not marked
+                while marked:
+                    size[marked] += len(text)
+                    marked = around[marked]
+                size[0] += len(text)
+    beside = [False]
+    for i in range(1, len(around)):
+        wraps = not main_outside and (i in holds or 2 * size[i] > size[0])
+        beside.append(beside[around[i]] or not wraps)
+    for place, never, marked, main, text in read:
+        yield place, 2 if never else int(beside[marked]), main, text
+
+
+def _parsed(page: str, around: list[int], holds: set[int]) -> Iterator[tuple[str, bool, int, str, str]]:
+    """(place, in ``DROPPED``, innermost marked element, main, text) for :func:`blocks`."""
+    outside = ("", "", False, "", 0)
+    stack: list[tuple[str, str, bool, str, int]] = []  # name, place, never, main, marked
     text: list[str] = []
 
     def flush():
@@ -93,7 +130,7 @@ def blocks(page: str | None) -> Iterator[tuple[str, bool, str, str]]:
         text.clear()
         return said
 
-    at, here = 0, ("", "", False, "")
+    at, here = 0, outside
     end = len(page)
     while at < end:
         m = _TOKEN.search(page, at)
@@ -108,14 +145,14 @@ def blocks(page: str | None) -> Iterator[tuple[str, bool, str, str]]:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             if name not in INLINE:
                 if said := flush():
-                    yield here[1], here[2], here[3], said
+                    yield here[1], here[2], here[4], here[3], said
             if depth is not None and not (name in INLINE and any(x[0] not in INLINE for x in stack[depth + 1 :])):
                 del stack[depth:]
-                here = stack[-1] if stack else ("", "", False, "")
+                here = stack[-1] if stack else outside
             continue
         if name not in INLINE:
             if said := flush():
-                yield here[1], here[2], here[3], said
+                yield here[1], here[2], here[4], here[3], said
             if name in ENDS_P:
                 depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p"), None)
                 if depth is not None:
@@ -124,7 +161,7 @@ def blocks(page: str | None) -> Iterator[tuple[str, bool, str, str]]:
                 depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in SAME[name] or stack[i][0] in ("ul", "ol", "dl", "table")), None)
                 if depth is not None and stack[depth][0] in SAME[name]:
                     del stack[depth:]
-            here = stack[-1] if stack else ("", "", False, "")
+            here = stack[-1] if stack else outside
         elif name == "br":
             text.append(" ")
         attributes = m[3] or m[6] or ""
@@ -134,21 +171,28 @@ def blocks(page: str | None) -> Iterator[tuple[str, bool, str, str]]:
         place = here[1] if name in INLINE else f"{here[1]}/{name}" + f"[{kind}]" * bool(kind)
         opens = (name in MAIN and not here[2]) or bool(re.search(r"role\s*=\s*[\"']?main\b", attributes))
         main = place if opens and (name == "article" or not here[3]) else here[3]
-        dropped = here[2] or name in DROPPED or (name == "header" and not here[3]) or (name not in ("html", "body", *MAIN) and _beside(attributes))
-        if name == "article" and here[3] and _beside(attributes):
-            dropped = True
+        never = here[2] or name in DROPPED or (name == "header" and not here[3])
+        marked = here[4]
+        if opens and not never:
+            up = marked
+            while up not in holds:
+                holds.add(up)
+                up = around[up]
+        if name == "form" or (name not in ("html", "body", "main") and (name != "article" or here[3]) and _beside(attributes)):
+            around.append(marked)
+            marked = len(around) - 1
         if name not in INLINE:
-            yield place, dropped, main, ""
+            yield place, never, marked, main, ""
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.IGNORECASE).search(page, at)
             at = close.start() if close else end
-            stack.append((name, place, True, main))
+            stack.append((name, place, True, main, marked))
         elif not attributes.rstrip().endswith("/"):
-            stack.append((name, place, dropped, main))
+            stack.append((name, place, never, main, marked))
         if stack:
             here = stack[-1]
     if said := flush():
-        yield here[1], here[2], here[3], said
+        yield here[1], here[2], here[4], here[3], said
 
 
 def _mark(text: str) -> str:
@@ -156,6 +200,10 @@ def _mark(text: str) -> str:
     return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
 
 
+def _said(place: str, text: str) -> str:
+    return f"{place}\n{_mark(text)}"
+
+
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each distinct token of a page, with its count and the length of the text: of the
     blocks of which a tag is the parent (``HINT`` times in an article), of a block itself."""
@@ -167,8 +215,8 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for place, dropped, main, text in blocks(page):
                 if not text:
                     counts[(place, "")] += 1
-                elif not dropped:
-                    token, long = (place, _mark(text)), len(text) * (HINT if main else 1)
+                elif dropped < 2:
+                    token, long = (place, _mark(text)), 0 if dropped else len(text) * (HINT if main else 1)
                     counts[token] += 1
                     size[token] += long
                     size[(place.rpartition("/")[0], "")] += long
@@ -209,9 +257,9 @@ def extract(page: str | None, said: list[str] | None, container: str | None) ->
     the ``article`` or ``main`` around it.  A page with nothing there gives those in
     its own ``article`` or ``main``, else all; a page that is template throughout, as
     all pages of a host of copies are, is read without one."""
-    all_left = [(place, main, text) for place, dropped, main, text in blocks(page) if text and not dropped]
-    known = set(said or ())
-    left = [x for x in all_left if f"{x[0]}\n{_mark(x[2])}" not in known] if known else all_left
+    known = frozenset(said or ())
+    all_left = [(place, main, text) for place, dropped, main, text in blocks(page, known) if text and not dropped]
+    left = [x for x in all_left if _said(x[0], x[2]) not in known] if known else all_left
     left = left or all_left
 
     def within(place: str, outer: str) -> bool:

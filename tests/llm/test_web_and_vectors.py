@@ -28,6 +28,18 @@ def test_main_text_of_a_page():
     assert html_text.extract('<main><h1 title="a>b">x</h1>y</main>z', None, None) == "x\n\ny"
 
 
+@pytest.mark.parametrize("wrapper", ["div class='content has-sidebar'", "div id=page class=no-comments", "div class=with-header", "div class=content-sidebar-wrap", "form action=/x"])
+def test_wrappers_are_not_beside_the_article(wrapper):
+    side = "<div class=sidebar><p>Links</p></div>"
+    open_, close = f"<body><{wrapper}>", f"{side}</{wrapper.split()[0]}><p>low</p></body>"
+    assert html_text.extract(f"{open_}<article><p>Text</p><form>Find</form></article>{close}", None, None) == "Text"
+    assert html_text.extract(f"{open_}<main>Text</main>{close}", None, None) == "Text"
+    assert html_text.extract(f"{open_}<p>A text of its own, without an article</p>{close}", None, None) == "A text of its own, without an article\n\nlow"
+    assert html_text.extract("<main>Text</main><div class=related><article>A longer text beside the short one</article></div>", None, None) == "Text"
+    known = ["/div[menu]/p\n" + html_text._mark("Links that every page of the host has")]
+    assert html_text.extract("<div class=menu><p>Links that every page of the host has</p></div><p>Short</p>", known, None) == "Short"
+
+
 def site(n, text):
     return [(i, f"http://h.example.org/{i}", f"<html><body><div id=top>Our site</div><div id=body><p>{text(i)}</p>" + "<p>extra</p>" * (i % 3) + "</div><div id=low>All rights</div></body></html>") for i in range(n)]
 
