@@ -67,17 +67,19 @@ class Lattice:
     A piece's probability falls with its place in the vocabulary, as in Zipf's law.
     The edges that end at a position are stored as cumulative probabilities after
     the position's number, so one search in ``keys`` draws an edge for any position.
+    The forward pass works in logarithms and sums edges for each position alone, so runs
+    of any length and weight have their sums and none bears on another's.
     """
 
     def __init__(self, pieces: list[tuple[str, int]], of_byte: list[int], alpha: float):
-        self.byte_weight = (1 / (len(pieces) + 3)) ** alpha
+        self.byte_weight = -alpha * np.log(len(pieces) + 3)  # weights are logarithms
         self.of_byte = of_byte
         self.extra: dict[str, int] = {}  # characters of several bytes, numbered below zero
         self.extra_ids: list[list[int]] = []
         self.by_length = []
         self.longest = max((len(text) for text, _ in pieces), default=1)
         for length in range(1, self.longest + 1):
-            here = [(text, i, (place + 3.0) ** -alpha) for place, (text, i) in enumerate(pieces) if len(text) == length]
+            here = [(text, i, -alpha * np.log(place + 3.0)) for place, (text, i) in enumerate(pieces) if len(text) == length]
             hashes = _hashes(_points("".join(x[0] for x in here)), length)[::length] if here else np.zeros(0, np.uint64)
             order = np.argsort(hashes)
             weights, ids = np.array([x[2] for x in here]), np.array([x[1] for x in here], dtype=np.int64)
@@ -97,7 +99,7 @@ class Lattice:
         if char not in self.extra:
             self.extra[char] = len(self.extra)
             self.extra_ids.append(ids)
-        return self.byte_weight ** len(ids), -1 - self.extra[char]
+        return self.byte_weight * len(ids), -1 - self.extra[char]
 
     def _edges(self, points: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
         """(end, length, weight, id) of all edges, by end; ``at`` is each character's
@@ -137,27 +139,27 @@ class Lattice:
         place = at[end]
         source = np.where(place == length, n, end - length)
         reach = np.zeros(n + 1)
-        reach[n] = 1.0
         last = int(at.max())
         order = np.argsort(place.astype(np.uint16) if last < 1 << 16 else place, kind="stable")
         edges = np.cumsum(np.bincount(place, minlength=last + 1))
-        part = np.zeros(len(end))
+        sums = np.zeros(len(end))
         for j in range(1, last + 1):
             here = order[edges[j - 1] : edges[j]]
             mine = end[here]
             first = np.flatnonzero(np.diff(mine, prepend=-1))
-            value = weight[here] * reach[source[here]]
+            each = np.diff(np.append(first, len(here)))
+            value = weight[here] + reach[source[here]]
+            most = np.maximum.reduceat(value, first)
+            value = np.exp(value - np.repeat(most, each))
             total = np.add.reduceat(value, first)
-            nodes = mine[first]
-            reach[nodes] = total
-            part[here] = value / np.repeat(total, np.diff(np.append(first, len(here))))
-            if j % 32 == 0:  # only ratios matter: keep what later edges start from near one
-                for k in range(min(j, self.longest)):
-                    reach[nodes - k] /= total
-        sums = np.cumsum(part)
+            reach[mine[first]] = most + np.log(total)
+            sums[here] = value / np.repeat(total, each)
         first = np.flatnonzero(np.diff(end, prepend=-1))
-        before = np.repeat(np.concatenate([[0.0], sums])[first], np.diff(np.append(first, len(end))))
-        keys = end + np.minimum(sums - before, 1.0)
+        each = np.diff(np.append(first, len(end)))
+        for k in range(1, int(each.max())):
+            more = first[each > k] + k
+            sums[more] += sums[more - 1]
+        keys = end + np.minimum(sums, 1.0)
         keys[np.append(first[1:], len(end)) - 1] = end[first] + 1.0
         self.starts = np.concatenate([self.starts, self.chars + starts])
         self.tables = tuple(np.concatenate(x) for x in zip(self.tables, (keys + self.chars, length, ids), strict=True))

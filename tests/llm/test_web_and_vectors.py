@@ -268,6 +268,21 @@ def test_segmentations_have_their_probabilities():
         assert abs(seen[path] / n - p / total) < 4 * (p / total / n) ** 0.5 + 1e-3
 
 
+def test_runs_of_characters_without_pieces_leave_others_alone(spark):
+    """Gothic letters, CJK extension B and new emoji have no piece, and weigh four bytes each."""
+    rare = ["\U00010330" * 64, "\U00020000\U00020001" * 200, "x" + "\U0001fae0" * 26, " " * 40 + "\U00010331" * 4000]
+    plain = [(i, f"ordinary words of row {i} and some more") for i in range(40)]
+    alone = {r.doc_id: r.ids for r in pieces.sampled_pieces(spark.createDataFrame(plain, "doc_id long, text string")).collect()}
+    rows = [(100 + i, t) for i, t in enumerate(rare)]
+    got = pieces.sampled_pieces(spark.createDataFrame([*plain[:20], *rows, *plain[20:]], "doc_id long, text string").coalesce(1)).collect()
+    assert all(r.lossless for r in got)
+    assert {r.doc_id: r.ids for r in got if r.doc_id < 100} == alone
+    raw, texts, of_byte = pieces.vocabulary()
+    lattice = pieces.Lattice(texts, of_byte, pieces.ALPHA)
+    lattice.learn([" " + rare[0], " and", rare[3]])
+    assert not np.isnan(lattice.tables[0]).any() and (np.diff(lattice.tables[0]) >= 0).all()
+
+
 @pytest.mark.parametrize("length", [1, 5, 16])
 def test_hashes_follow_code_points(length):
     a, b = pieces._points("xyzabcdefghijklmnopq"), pieces._points("abcdefghijklmnopqrst")
