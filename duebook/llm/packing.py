@@ -9,8 +9,11 @@ successors until one is compatible, else a bin is opened.
 Documents longer than a bin are cut into pieces; whole bins of one document need
 no search.  Pieces are dealt by hash into shards of about ``SHARD`` words, each of
 which is packed on its own, so that neither a large source nor a large cluster
-meets in one task and a shard's search is bounded.  Only ids, sizes, sources and
-clusters are moved, no texts.
+meets in one task and a shard's search is bounded.  The pieces of bins with more
+than ``SLACK`` of the capacity left are dealt anew to shards of the same size and
+packed again, round after round, until they are in one shard or a round saves less
+than ``SETTLED`` of all bins.  Only ids, sizes, sources and clusters are moved, no
+texts.
 """
 
 from __future__ import annotations
@@ -26,8 +29,11 @@ from .common import Scratch, n_tasks_for, words
 
 CAPACITY = 4096
 SHARD = 1 << 18
+SLACK = 1 / 64
+SETTLED = 1 / 1000
 
-_OUT = "shard int, bin int, slot int, doc_id bigint, piece int, first_word bigint, n_words bigint, source string, cluster bigint"
+_PLACED = "shard int, bin int, slot int, doc_id bigint, piece int, first_word bigint, n_words bigint, source string, cluster bigint"
+_ROUND = _PLACED + ", full_bin int"
 
 
 def text_cluster(text: Column) -> Column:
@@ -77,9 +83,15 @@ def _pack(capacity: int):
         table = table.sort_by(order)
         items = zip(*(table[c].to_pylist() for c in ("n_words", "source", "cluster")), strict=True)
         found = best_fit(items, capacity)
+        room: dict[int, int] = {}
+        for (at, _), size in zip(found, table["n_words"].to_pylist(), strict=True):
+            room[at] = room.get(at, capacity) - size
+        # Without the other bins the full ones come out alike, numbered as they are opened.
+        full = {at: i for i, at in enumerate(at for at in sorted(room) if room[at] <= capacity * SLACK)}
         places = [pa.array([x[k] for x in found], pa.int32()) for k in (0, 1)]
         names = ["doc_id", "piece", "first_word", "n_words", "source", "cluster"]
-        return pa.Table.from_arrays([table["shard"], *places, *(table[c] for c in names)], ["shard", "bin", "slot", *names])
+        marks = pa.array([full.get(x[0]) for x in found], pa.int32())
+        return pa.Table.from_arrays([table["shard"], *places, *(table[c] for c in names), marks], ["shard", "bin", "slot", *names, "full_bin"])
 
     return packed
 
@@ -109,5 +121,32 @@ def pack(docs: DataFrame, cluster: Column | None = None, capacity: int = CAPACIT
     starts = F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(capacity).cast("long"))
     pieces = sized.select("doc_id", "source", "cluster", "size", F.posexplode(starts).alias("piece", "first_word"))
     pieces = pieces.withColumn("n_words", F.least(F.col("size") - F.col("first_word"), F.lit(capacity))).drop("size")
-    dealt = F.pmod(F.xxhash64("doc_id", "piece", "cluster", "source"), F.lit(n_tasks_for(total, shard))).cast("int")
-    return pieces.withColumn("shard", dealt).groupBy("shard").applyInArrow(_pack(capacity), _OUT)
+    names = [x.split()[0] for x in _PLACED.split(", ")]
+    bins = F.sum((F.col("slot") == 0).cast("long"))
+    first_shard, done, now, all_bins = 0, [], None, 0
+    while True:
+        n = n_tasks_for(total, shard)
+        salt = [F.lit(first_shard)] * bool(first_shard)
+        dealt = F.pmod(F.xxhash64("doc_id", "piece", "cluster", "source", *salt), F.lit(n)).cast("int") + first_shard
+        then = scratch.cut(pieces.withColumn("shard", dealt).groupBy("shard").applyInArrow(_pack(capacity), _ROUND))
+        found = then.agg(bins.alias("bins")).first()
+        saved = loose.bins - (found.bins or 0) if now is not None else 0
+        if now is not None and saved <= 0:
+            return _union([*done, now.select(*names)])
+        if now is not None:
+            done.append(now.where("full_bin is not null").withColumn("bin", F.col("full_bin")).select(*names))
+            all_bins -= saved
+        else:
+            all_bins = found.bins or 0
+        loose = then.where("full_bin is null").agg(bins.alias("bins"), F.sum("n_words").alias("words")).first()
+        if n == 1 or not loose.bins or (now is not None and saved < all_bins * SETTLED):
+            return _union([*done, then.select(*names)])
+        now, first_shard, total = then, first_shard + n, loose.words
+        pieces = now.where("full_bin is null").drop("shard", "bin", "slot", "full_bin")
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.union(part)
+    return out

@@ -258,6 +258,22 @@ def test_packing_covers_all_words_without_conflicts(spark, odd, none):
     assert packing.pack(none).count() == 0
 
 
+def test_packing_repairs_bins_across_shards(spark):
+    """Shards that hold few sources leave bins open; together they are as full as in one search."""
+    rng = random.Random(12)
+    docs = [(i, " ".join(f"w{i}" for _ in range(rng.randint(5, 40))), f"s{rng.randrange(60)}") for i in range(600)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    whole, dealt = packing.pack(df, capacity=256, shard=1 << 20).collect(), packing.pack(df, capacity=256, shard=800).collect()
+    assert sum(r.n_words for r in dealt) == sum(r.n_words for r in whole) and len(dealt) == len(whole)
+    held = {}
+    for r in dealt:
+        held.setdefault((r.shard, r.bin), []).append(r)
+    for rows in held.values():
+        assert sum(r.n_words for r in rows) <= 256 and len({r.source for r in rows}) == len(rows)
+        assert sorted(r.slot for r in rows) == list(range(len(rows)))
+    assert len(held) <= 1.05 * len({(r.shard, r.bin) for r in whole})
+
+
 def test_scratch_deletes_its_tables(spark):
     scratch = Scratch(spark)
     assert scratch.cut(spark.range(3)).count() == 3
