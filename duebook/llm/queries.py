@@ -11,6 +11,7 @@ from . import sql
 from .common import Scratch
 from .embedding import embedding_groups
 from .html_text import main_text
+from . import language
 from .line_dedup import line_dedup
 from .packing import pack
 from .pieces import sampled_pieces
@@ -121,6 +122,12 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(pages, outcomes.select("url", "good"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(language.fold(F.col("doc_id")) == language.HELD_OUT, F.lit(False))
+    return language.identify_language(docs).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -132,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_simhash": op9_simhash,
     "op10_url_filters": op10_url_filters,
+    "op11_language_id": op11_language_id,
 }
 
 SQL: dict[str, str] = {
