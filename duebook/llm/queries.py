@@ -11,7 +11,7 @@ from . import sql
 from .common import Scratch
 from .embedding import embedding_groups
 from .html_text import main_text
-from . import language
+from . import alignment, language
 from .line_dedup import line_dedup
 from .packing import pack
 from .pieces import sampled_pieces
@@ -128,6 +128,10 @@ def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_language(docs).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link(_read(spark, sf_dir, "documents")).documents
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_quality_rules": op2_quality_rules,
@@ -140,6 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_url_filters": op10_url_filters,
     "op11_language_id": op11_language_id,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 SQL: dict[str, str] = {
