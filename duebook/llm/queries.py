@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from . import sql
 from .common import Scratch
 from .embedding import embedding_groups
 from .html_text import main_text
-from . import alignment, language
+from . import alignment, conversations, language
 from .line_dedup import line_dedup
 from .packing import pack
 from .pieces import sampled_pieces
@@ -128,6 +129,27 @@ def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify_language(docs).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversation rows of which some are dropped, emptied, cut, repeated or given
+    another role, by a hash of conversation and turn."""
+    named = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    plain = rows.select("conv_id", "turn", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")).alias(c) for c in ("role", "text")), (F.crc32(named) % 20).alias("draw"))
+    times = F.when(F.col("draw") == 3, F.expr("array(1, 2)")).otherwise(F.expr("array(1)"))
+    draw, text = F.col("draw"), F.col("text")
+    return plain.where(draw != 0).select(
+        "conv_id", "turn", F.when(draw == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(draw == 1, "").when(draw == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"), F.explode(times).alias("time"),
+    ).drop("time")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "conversations")
+    found = conversations.report(conversations.repair(damaged(rows))).withColumnRenamed("conv_id", "id")
+    every = rows.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("id")), "left")
+    none = {"audit": "", "repaired_sha256": hashlib.sha256(b"").hexdigest()}
+    return every.select("conv_id", *(F.coalesce(c, F.lit(none.get(c, 0))).alias(c) for c in found.columns if c != "id"))
+
+
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.link(_read(spark, sf_dir, "documents")).documents
 
@@ -144,6 +166,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": op9_simhash,
     "op10_url_filters": op10_url_filters,
     "op11_language_id": op11_language_id,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
