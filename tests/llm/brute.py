@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 import re
-from collections import defaultdict
-from itertools import combinations
+import zlib
+from collections import Counter, defaultdict, deque
+from itertools import combinations, product
 
 from xxhash import xxh64_intdigest
 
@@ -101,3 +104,113 @@ def best_fit(items, capacity):
         bins[k][2].add(cluster)
         out.append(k)
     return out
+
+
+def linked(rows, tokens_a, tokens_b):
+    """(rows of (id, n_a, n_b, n_groups, n_links, n_best, count_sum, digest), counts of
+    id pairs); ``tokens_a`` and ``tokens_b`` give (id, bytes) of a text's tokens."""
+    counts, cut = Counter(), []
+    for i, text in rows:
+        raw, groups, links = f" {text}".encode(), [], Counter()
+        a, b = (tokens_a(text), tokens_b(text)) if text else ([], [])
+        if not b"".join(x for _, x in a) == b"".join(x for _, x in b) == raw:
+            a, b = [], []
+        at_a = at_b = 0
+        left, right, mine, theirs = deque(a), deque(b), [], []
+        while left or right:
+            if at_a <= at_b:
+                token, x = left.popleft()
+                mine.append(token)
+                at_a += len(x)
+            else:
+                token, x = right.popleft()
+                theirs.append(token)
+                at_b += len(x)
+            if at_a == at_b:
+                groups.append((mine, theirs))
+                mine, theirs = [], []
+        for mine, theirs in groups:
+            links.update(product(mine, theirs))
+        counts.update(set(links))
+        cut.append((i, len(a), len(b), groups, links))
+    best = {}
+    for (a, _), n in counts.items():
+        best[a] = max(best.get(a, 0), n)
+    out = []
+    for i, n_a, n_b, groups, links in cut:
+        shown = ";".join(",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups)
+        out.append((
+            i, n_a, n_b, len(groups), sum(links.values()),
+            sum(n for k, n in links.items() if counts[k] == best[k[0]]), sum(n * counts[k] for k, n in links.items()),
+            hashlib.sha256(shown.encode()).hexdigest() if groups else "",
+        ))
+    return out, dict(counts)
+
+
+def damaged(rows):
+    """Conversation rows after the damage of the query."""
+    def named(x):
+        return " " if x is None else str(x)
+
+    for conv, turn, role, text in rows:
+        draw = zlib.crc32(f"{named(conv)}:{named(turn)}".encode()) % 20
+        text = "" if draw == 1 else re.sub("[.!?]", "", named(text)) if draw == 2 else named(text)
+        for _ in range((1, 2)[draw == 3] if draw else 0):
+            yield conv, turn, "user" if draw == 4 else named(role), text
+
+
+def repaired(rows):
+    """(gaps, blank, duplicate, truncated, illegal, cost, audit, digest) of one
+    conversation, keeping all cheapest repairs to each state as whole strings."""
+    rows = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[2], r[3][:64], hashlib.md5(r[3].encode()).digest()))
+    after = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+
+    def closed(states):
+        for _ in range(4):
+            for state, ways in list(states.items()):
+                for role in ("user", "assistant"):
+                    if (state, role[0]) in after:
+                        more = {(cost + 2, audit + "I", (*out, f"{role}:")) for cost, audit, out in ways if not audit.endswith("II")}
+                        states.setdefault(after[state, role[0]], set()).update(more)
+        return {s: {w for w in ways if w[0] == min(ways)[0]} for s, ways in states.items() if ways}
+
+    states, seen, faults = closed({"": {(0, "", ())}}), set(), Counter()
+    for _, _, role, text in rows:
+        solid = re.findall(r"[^\x20\x09-\x0D]", text)
+        fault = "blank" if not solid else "duplicate" if (role, text) in seen else "truncated" if solid[-1] not in ".!?" else None
+        faults[fault] += 1
+        seen.add((role, text))
+        stays, then = int(fault == "truncated"), defaultdict(set)
+        for state, ways in states.items():
+            for cost, audit, out in ways:
+                then[state].add((cost + 3, audit + "D", out))
+                for to, price, letter in ((role, 0, "K"), ("user", 2, "R"), ("assistant", 2, "R")):
+                    if fault not in ("blank", "duplicate") and (state, to[:1]) in after:
+                        then[after[state, to[:1]]].add((cost + price + stays, audit + letter, (*out, f"{to}:{text}")))
+        states = closed(then)
+    ends = [w for state in ("", "a") for w in states.get(state, ())]
+    cost, audit, out = min(ends)
+    turns = {r[1] for r in rows if r[1] is not None}
+    gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    illegal = sum(x[2][:1] + y[2][:1] not in ("su", "ua", "au") for x, y in zip(rows, rows[1:], strict=False))
+    digest = hashlib.sha256("\n".join(out).encode()).hexdigest()
+    return gaps, faults["blank"], faults["duplicate"], faults["truncated"], illegal, cost, audit, digest
+
+
+def languages(rows, order, fold):
+    """{id: language} by naive Bayes over plain n-grams; ``rows`` are (id, text, lang)."""
+    def grams(text):
+        plain = re.sub(r"[\W\d_]+", " ", f" {text.lower()} ")
+        return [plain[i : i + n] for n in range(1, order + 1) for i in range(len(plain) - n + 1) if plain[i : i + n] != " "]
+
+    counts, docs = defaultdict(Counter), Counter()
+    for i, text, lang in rows:
+        if lang is not None and zlib.crc32(str(i).encode()) % 4 != fold:
+            docs[lang] += 1
+            counts[lang].update(grams(text or ""))
+    out = {}
+    for i, text, _ in rows:
+        found = grams(text or "")
+        sums = {x: math.log(docs[x]) + sum(math.log((counts[x][g] + 0.1) / (counts[x].total() + 6553.6)) for g in found) for x in docs}
+        out[i] = max(sums, key=sums.get) if found else "und"
+    return out
