@@ -121,7 +121,7 @@ from (select k, cents, id_product, customer_number, @each(date '2024-01-28'|date
 """
 
 VIEWS["t26_writteoff_recovery"] = """
-select date '2024-01-31' - cast(l_linenumber%4 as int) as working_day, id_product, case l_linenumber%5 when 0 then 'wa' when 1 then 'WO' when 2 then 'Rep' when 3 then 'DS' else 'XX' end as writteoff_recovery, cast(l_quantity as double) as amount_event
+select date '2024-01-31' - cast(l_linenumber%4 as int) as working_day, id_product, case (l_orderkey + l_linenumber)%5 when 0 then 'wa' when 1 then 'WO' when 2 then 'Rep' when 3 then 'DS' else 'XX' end as writteoff_recovery, cast(l_quantity as double) as amount_event
 from {lineitem} join {base} on l_orderkey = k
 """
 

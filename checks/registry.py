@@ -14,6 +14,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks import steps as q
 from checks.bank import SNAPSHOT_COLUMNS, Bank, with_clause
@@ -47,9 +48,11 @@ from duebook.plans.update import (
     update_where,
     with_surrogate_key,
 )
-from duebook.schema import SCHEDULE, SNAPSHOT, error_snapshot
-from duebook.sources.sinks import SLICES, append, overwrite_slices, publish, write_version
-from duebook.sources.tables import Tables
+from duebook.schema import SCHEDULE, SNAPSHOT, TABLES, error_snapshot
+from duebook.sources.history import history_store, publish
+from duebook.sources.sinks import append, write_version
+from duebook.sources.store import Add, ReplaceAll, Store, Stored, Update
+from duebook.sources.tables import Tables, split_rows
 
 T17 = "atmp_t17_dpd_credit_cards"
 TODAY = "t17_today"
@@ -90,20 +93,89 @@ class Context:
         """All outputs of one daily close."""
         return plans.daily_close(self.close(), _run_at())
 
-    def close(self, mode: str = "observed") -> plans.Close:
+    def close(self, mode: str = "observed", run: str | None = None) -> plans.Close:
         staging = {T17: TODAY, "err_atmp_t17_dpd_credit_cards": "err_today"}
         tables = Tables(lambda name: self.bank[staging.get(name, name)])
-        return plans.Close.of(tables, self.days, mode, self.hot)
+        return plans.Close.of(tables, self.days, mode, self.hot, run=run)
+
+    def store(self, *names: str, buckets: int = 4) -> Store:
+        """A new store that holds the tables named."""
+        root = f"{shared_folder(self.bank.spark)}/store-{uuid.uuid4().hex}"
+        store = history_store(self.bank.spark, root, buckets)
+        store.commit(*(Add(name, self[name]) for name in names))
+        return store
 
     def published(self, name: str) -> DataFrame:
-        """A history table after the close has been published over it twice."""
-        rows = self.outputs[name]
-        root = f"{shared_folder(self.bank.spark)}/published-{uuid.uuid4().hex}"
-        before = conform(self[name], rows.schema).dropna(subset=list(SLICES[name]))
-        overwrite_slices(before, f"{root}/{name}", SLICES[name])
+        """A stored table after the close has been published over it twice."""
+        store = self.store(name)
         for _ in range(2):
-            publish({name: rows}, root, [name])
-        return self.bank.spark.read.schema(rows.schema).parquet(f"{root}/{name}")
+            publish({name: self.outputs[name]}, store, self.days)
+        return store.read(name)
+
+    def published_empty(self, name: str) -> DataFrame:
+        """A stored table after a close, and then one again that has no rows."""
+        store, rows = self.store(name), self.outputs[name]
+        publish({name: rows}, store, self.days)
+        publish({name: rows.limit(0)}, store, self.days)
+        return store.read(name)
+
+    def published_in_part(self) -> DataFrame:
+        """The unwinding table after a second close of both tables failed at the other."""
+        names = ("t14_unwinding", "t19_default_events")
+        store, rows = self.store(*names), {name: self.outputs[name] for name in names}
+        publish(rows, store, self.days)
+        wrong = rows["t19_default_events"].withColumn("event_start_date", F.lit("1999-01-01").cast("date"))
+        try:
+            publish({names[0]: rows[names[0]].limit(0), names[1]: wrong}, store, self.days)
+        except ValueError:
+            return store.read(names[0])
+        raise AssertionError("rows outside of the slices of a close were published")
+
+    def ids_after_a_crash(self) -> DataFrame:
+        """Unwinding rows whose ids had been reserved once before, by a close that stopped."""
+        store = self.store("t14_unwinding")
+        lost = store.reserve("t14_unwinding", 1000)
+        publish({"t14_unwinding": self.outputs["t14_unwinding"]}, store, self.days)
+        rows = store.read("t14_unwinding")
+        today = F.col("working_day") == self.days.card_day
+        return rows.agg(
+            F.count(F.lit(1)).alias("n"), F.countDistinct("autoid").alias("ids"),
+            (F.min(F.when(today & (F.col("product_group") == "CC"), F.col("autoid"))) >= lost + 1000).alias("above"))
+
+    def updated(self, name: str, updates: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+        store = self.store(name, buckets=16)
+        store.commit(Update(name, updates, key, columns))
+        return store.read(name)
+
+    def placed(self, name: str, **only) -> DataFrame:
+        """A table as a store gives it, placed by product in four files a slice."""
+        return self.store(name).read(name, only=only)
+
+    def two_schemas(self) -> DataFrame:
+        """The register stored before its counter became wide and a column came in."""
+        root = f"{shared_folder(self.bank.spark)}/store-{uuid.uuid4().hex}"
+        now = T.StructType([*TABLES["t02_customer_product"].fields]).add("branch", "string")
+        now["current_days_past_due"].dataType = T.LongType()
+        rows, old = self["t02_customer_product"], TABLES["t02_customer_product"]
+        card = F.col("product_group") == "CREDIT CARD"
+        Store(self.bank.spark, root, {"r": Stored(old)}).commit(ReplaceAll("r", rows.where(card)))
+        store = Store(self.bank.spark, root, {"r": Stored(now)})
+        store.commit(Add("r", rows.where(~card).withColumn("branch", F.lit("B1"))))
+        return store.read("r")
+
+    def resumed_engine(self) -> DataFrame:
+        """The default engine of a second close that finds the first one's table."""
+        run = uuid.uuid4().hex
+        plans.default_engine(self.today, self.close(run=run))
+        return plans.default_engine(self.today, self.close(run=run))
+
+    def read_by_parts(self, name: str, column: str, parts: int) -> DataFrame:
+        """A table read condition by condition, as several tasks would read it."""
+        conditions = split_rows(self[name], column, parts, quote="`").predicates
+        whole = self[name].where(conditions[0])
+        for condition in conditions[1:]:
+            whole = whole.union(self[name].where(condition))
+        return whole
 
     def stored(self, write: Callable[[str], None]) -> DataFrame:
         """What ``write`` leaves in a new folder."""
@@ -234,6 +306,15 @@ add("s6_update_takes_nulls", "id_product joint_id",
         "id_product", ["joint_id"]),
     [T17, "vw_unwinding"],
     f"select t.id_product, case when v.id_product is not null then cast(cast(v.overwritten_ecl as int) as varchar) else t.joint_id end as joint_id from {T17} t left join vw_unwinding v on t.id_product = v.id_product")
+add("s5_keyed_update_of_files", "id_product current_days_past_due:i check_flag",
+    lambda c: c.updated(
+        "t02_customer_product",
+        c.t17.filter("cast(account_number as bigint) % 1000 = 0").select(
+            "id_product", F.col("dpd_ho").alias("current_days_past_due"), F.lit(None).cast("string").alias("check_flag")),
+        "id_product", ["current_days_past_due", "check_flag"]),
+    [T17, "t02_customer_product"],
+    "select r.id_product, case when t.id_product is not null then t.dpd_ho else r.current_days_past_due end as current_days_past_due, "
+    f"case when t.id_product is null then r.check_flag end as check_flag from t02_customer_product r left join (select * from {T17} where cast(account_number as bigint) % 1000 = 0) t on r.id_product = t.id_product")
 add("s7_set_everywhere", "id_product p_working_day",
     lambda c: set_everywhere(c.t17, "p_working_day", c.days.previous_day), [T17],
     f"select id_product, {q.PREV} as p_working_day from {T17}")
@@ -246,6 +327,13 @@ add("s12_schema_padding", "id_product working_day autoid:i eba_status gca:f",
     lambda c: conform(c["err_atmp_t17_dpd_credit_cards"].drop("eba_status", "gca"), SNAPSHOT),
     ["err_atmp_t17_dpd_credit_cards"],
     "select id_product, working_day, null as autoid, null as eba_status, null as gca from err_atmp_t17_dpd_credit_cards")
+add("s12_schema_change", "id_product current_days_past_due:i branch product_group", lambda c: c.two_schemas(),
+    ["t02_customer_product"],
+    "select id_product, current_days_past_due, case when product_group <> 'CREDIT CARD' then 'B1' end as branch, product_group from t02_customer_product")
+add("s3_read_by_parts", "id_product working_day ledger_balance:f",
+    lambda c: c.read_by_parts("t22_card_balance", "id_product", 8), ["t22_card_balance"], "t22_card_balance")
+add("s3_read_by_parts_of_numbers", "autoid:i id_product",
+    lambda c: c.read_by_parts("t14_unwinding", "autoid", 8), ["t14_unwinding"], "t14_unwinding")
 add("s4_append", "id_product working_day",
     lambda c: c.stored(lambda path: [append(c[t].select("id_product", "working_day"), path) for t in ("t22_card_balance", "t14_unwinding")] and None),
     ["t22_card_balance", "t14_unwinding"],
@@ -397,6 +485,13 @@ def _second(c: Context, mode: str = "observed") -> DataFrame:
         c["tc08_configuration_table"], c.days, mode, c.hot)
 
 
+add("j10_previous_day_in_place", "id_product before:f",
+    lambda c: unwinding.previous_month_to_date(
+        c.placed("t14_unwinding", working_day=c.days.dates(c.bank.spark)[3]), c.days).select(
+        F.col("prev_key").alias("id_product"), F.col("prev_unwinding_mtd_lcy").alias("before")),
+    ["t14_unwinding"],
+    f"select id_product, unwinding_mtd_lcy as before from t14_unwinding where working_day = {q.PREV}")
+
 # --- load, delinquency ---------------------------------------------------------------------
 
 CARRIED = " ".join(
@@ -406,6 +501,11 @@ CARRIED = " ".join(
 add_steps("d8_carry_forward", f"id_product p_working_day {CARRIED}",
           lambda c: carry_forward.carry_forward(c.t17, c["t17_dpd_credit_cards"], c.days),
           ["t17_dpd_credit_cards"], [q.carry_forward])
+add_steps("d8_carry_forward_in_place", f"id_product p_working_day {CARRIED}",
+          lambda c: carry_forward.carry_forward(
+              plans.by_product(c.t17, 4),
+              c.placed("t17_dpd_credit_cards", working_day=c.days.dates(c.bank.spark)[3]), c.days, placed=True),
+          ["t17_dpd_credit_cards"], [q.carry_forward])
 add_steps("d9_segment_refresh", "id_product retail_nonretail_indicator",
           lambda c: delinquency.segment_refresh(c.t17, c["t01_customer"], c.hot), ["t01_customer"], [q.segment])
 DPD_TABLES = ["t22_card_balance", "t20_exchange_rate", "atmp_joint_dpd", "t01_customer", "tc08_configuration_table"]
@@ -657,6 +757,10 @@ for _suffix, _mode in (("", "observed"), ("_intended", INTENDED)):
         lambda c, m=_mode: registers.product_register(
             c["t02_customer_product"], c.t17, c["t22_card_balance"], c.days, _run_at(), m),
         [T17, "t02_customer_product", "t22_card_balance"], _register_sql(bool(_suffix)))
+    add(f"d60_register_in_place{_suffix}", REGISTER,
+        lambda c, m=_mode: registers.product_register(
+            c.placed("t02_customer_product"), c.t17, c["t22_card_balance"], c.days, _run_at(), m, placed=4),
+        [T17, "t02_customer_product", "t22_card_balance"], _register_sql(bool(_suffix)))
 add("j8_full_outer_upsert", "id_product inserted:b",
     lambda c: registers.product_register(
         c["t02_customer_product"], c.t17, c["t22_card_balance"], c.days, _run_at()).withColumn(
@@ -759,6 +863,9 @@ _ctes, _last = _engine_steps([])
 add("w4_default_engine", f"{CONTAGION} {PREVIOUS} {ATTRIBUTES}",
     lambda c: plans.default_engine(c.today, c.close()), [TODAY, *ENGINE_TABLES], _last, _ctes)
 
+add("w1_resumed_engine", f"{CONTAGION} {PREVIOUS} {ATTRIBUTES}",
+    lambda c: c.resumed_engine(), [TODAY, *ENGINE_TABLES], _last, _ctes)
+
 CLOSE_COLUMNS = (
     f"{CONTAGION} {PREVIOUS} {ATTRIBUTES} {COUNTERS} {RECOVERED} retail_nonretail_indicator materiality_level:f dpd_ho:i "
     "date_since_pd_ho date_since_pd_ho2 dpd_ho2:i eba_status eba_status_start_date gca:f gross_interest_mtd_lcy:f gross_interest_mtd_ocy:f"
@@ -798,6 +905,12 @@ add("w2_daily_close_events", EVENT_ROW, lambda c: c.outputs["t19_default_events"
     f"{_log} and event_start_date = {q.CC} {_new_events}", _ctes)
 add("w2_published_events", EVENT_ROW, lambda c: c.published("t19_default_events"), [TODAY, *CLOSE_TABLES],
     f"{_log} {_new_events}", _ctes)
+_types = f"select distinct trim(id_product_type) as id_product_type, 'CREDIT CARD' as product_group from {TODAY} where trim(id_product_type) not in (select trim(id_product_type) from tc01_product_type)"
+add("w2_published_events_empty", EVENT_ROW, lambda c: c.published_empty("t19_default_events"), ["t19_default_events"],
+    "select customer_number, account_id, default_trigger_id, event_start_date, null as default_event_id, null as probation_end_date "
+    f"from t19_default_events where event_start_date <> {q.CC}")
+add("w2_published_product_types", "id_product_type product_group", lambda c: c.published("tc01_product_type"),
+    [TODAY, "tc01_product_type"], f"{_types} union all select id_product_type, product_group from tc01_product_type")
 add("w2_daily_close_product_types", "id_product_type product_group", lambda c: c.outputs["tc01_product_type"],
     [TODAY, "tc01_product_type"],
     f"select distinct trim(id_product_type) as id_product_type, 'CREDIT CARD' as product_group from {TODAY} where trim(id_product_type) not in (select trim(id_product_type) from tc01_product_type)")
@@ -805,16 +918,26 @@ add("w2_daily_close_schedule", _columns_of(SCHEDULE), lambda c: c.outputs["t18_c
     ["atmp_t18_cc_payment_schedule"], "atmp_t18_cc_payment_schedule")
 add("w2_daily_close_register", REGISTER, lambda c: c.outputs["t02_customer_product"],
     [TODAY, *CLOSE_TABLES], _register_sql(False, _last), _ctes)
+add("w2_published_register", REGISTER, lambda c: c.published("t02_customer_product"),
+    [TODAY, *CLOSE_TABLES], _register_sql(False, _last), _ctes)
 _unwound, _rows = _extend(_ctes, _last, [q.unwinding_rows, *q.UNWINDING])
 add("w2_daily_close_unwinding", UNWINDING_ROW, lambda c: c.outputs["t14_unwinding"],
     [TODAY, *CLOSE_TABLES], _rows, _unwound)
 _unwinding_names = [n for n, _ in QUERIES["w2_daily_close_unwinding"].spec()]
 _before = ("facility_id", "account_number", "p_working_day", "retail_nonretail")
+_others = (
+    "select " + ", ".join(f"null as {n}" if n in _before else n for n in _unwinding_names)
+    + f" from t14_unwinding where not (working_day = {q.CC} and product_group = 'CC')"
+)
+_published = f"select {', '.join(_unwinding_names)} from {_rows} union all {_others}"
 add("w2_published_unwinding", UNWINDING_ROW, lambda c: c.published("t14_unwinding"),
-    [TODAY, *CLOSE_TABLES],
-    f"select {', '.join(_unwinding_names)} from {_rows} union all select "
-    + ", ".join(f"null as {n}" if n in _before else n for n in _unwinding_names)
-    + f" from t14_unwinding where not (working_day = {q.CC} and product_group = 'CC')", _unwound)
+    [TODAY, *CLOSE_TABLES], _published, _unwound)
+add("w2_published_in_part", UNWINDING_ROW, lambda c: c.published_in_part(),
+    [TODAY, *CLOSE_TABLES], _published, _unwound)
+add("w2_published_unwinding_empty", UNWINDING_ROW, lambda c: c.published_empty("t14_unwinding"),
+    ["t14_unwinding"], _others)
+add("w2_ids_after_a_crash", "n:i ids:i above:b", lambda c: c.ids_after_a_crash(),
+    [TODAY, *CLOSE_TABLES], f"select count(*) as n, count(*) as ids, true as above from ({_published}) p", _unwound)
 add("w2_unwinding_ids", "n:i ids:i above:b",
     lambda c: c.outputs["t14_unwinding"].agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("autoid").alias("ids"),

@@ -56,19 +56,23 @@ class CloseDays:
         asof = min(bank, card_day) if asof_day is None else asof_day
         return cls(F.lit(card_day), F.lit(bank), F.lit(asof), F.lit(previous_day))
 
-    def resolved(self, spark: SparkSession) -> CloseDays:
-        """The same days as plain values, read as one row.
-
-        A long chain of steps that names the days often is then planned faster,
-        and day partitions are chosen when the query is planned.
-        """
+    def dates(self, spark: SparkSession) -> tuple:
+        """Card, bank, as-of and previous day, read as one row."""
         row = spark.range(1).select(
             self.card_day.alias("card"),
             self.bank_day.alias("bank"),
             self.asof_day.alias("asof"),
             self.previous_day.alias("previous"),
         ).first()
-        return CloseDays(*[F.lit(value) for value in row])
+        return tuple(row)
+
+    def resolved(self, spark: SparkSession) -> CloseDays:
+        """The same days as plain values.
+
+        A long chain of steps that names the days often is then planned faster,
+        and day partitions are chosen when the query is planned.
+        """
+        return CloseDays(*[F.lit(value) for value in self.dates(spark)])
 
     @property
     def next_day(self) -> Column:

@@ -53,14 +53,17 @@ CARRIED = {
 }
 
 
-def carry_forward(accounts: DataFrame, history: DataFrame, days: CloseDays) -> DataFrame:
+def carry_forward(
+    accounts: DataFrame, history: DataFrame, days: CloseDays, placed: bool = False
+) -> DataFrame:
     """Accounts with the values of the previous card day.
 
     Accounts without a history row keep what they had; ``p_working_day`` becomes
-    the previous day on all of them.
+    the previous day on all of them.  A history that is ``placed`` by product is
+    not shuffled.
     """
     previous = on_day(history, days.previous_day)
-    lookup = one_row_per_key(previous, "id_product", CARRIED, "prev_", repeats=False)
+    lookup = one_row_per_key(previous, "id_product", CARRIED, "prev_", repeats=placed)
     joined = attach(accounts, lookup, "id_product", "prev_key")
     values = {target: F.col(f"prev_{source}") for source, target in CARRIED.items()}
     carried = update_where(joined, F.col("prev_found"), values)

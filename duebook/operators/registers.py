@@ -9,7 +9,15 @@ from duebook.config import CARD_GROUP, CARD_PRODUCT_GROUP, NONRETAIL, OBSERVED,
 from duebook.functions.calendar import CloseDays
 from duebook.operators import inputs
 from duebook.operators.inputs import on_day
-from duebook.plans.lookups import HotKeys, attach, attach_small, missing_from, one_row_per_key
+from duebook.plans.lookups import (
+    ROWS_PER_TASK,
+    HotKeys,
+    attach,
+    attach_small,
+    join_spread,
+    missing_from,
+    one_row_per_key,
+)
 from duebook.plans.update import update_where, upsert
 
 
@@ -45,19 +53,23 @@ def product_register(
     days: CloseDays,
     run_at: Column,
     mode: str = OBSERVED,
+    placed: int = 0,
 ) -> DataFrame:
     """The register with today's accounts updated or added.
 
-    Observed: register rows without an account are updated as well, with NULLs.
+    Observed: register rows without an account are updated as well, with NULLs.  If the
+    register is ``placed`` by product in so many files, only today's rows are shuffled.
     """
     columns = ["id_product", "id_product_type", "days_past_due", "customer_number"]
     source = inputs.attach_balances(accounts.select(*columns), t22, days.bank_day, ["facility_id"])
-    source = product_register_source(source)
+    source = product_register_source(source, placed)
     return merge_product_register(t02, source, run_at, mode)
 
 
-def product_register_source(df: DataFrame) -> DataFrame:
+def product_register_source(df: DataFrame, placed: int = 0) -> DataFrame:
     """Register values of accounts that carry the bank-day balance; one row per product."""
+    if placed:
+        df = df.repartition(placed, "id_product")
     source = df.select(
         "id_product",
         F.col("customer_number").alias("nrp_customer"),
@@ -124,12 +136,15 @@ def backfill_esa_code(t01: DataFrame, centers: DataFrame) -> DataFrame:
     return filled.select(*t01.columns)
 
 
-def joint_products(relations: DataFrame, t22: DataFrame, days: CloseDays) -> DataFrame:
+def joint_products(
+    relations: DataFrame, t22: DataFrame, days: CloseDays, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """Products of joint borrowers with their joint group.
 
     A relation names a facility by two parts of its number.  Relations are
     reduced to one per customer and facility first, so a customer with many of
-    both does not produce their product.
+    both does not produce their product.  The balances of a customer with very many
+    facilities are dealt to several tasks.
     """
     borrower = (
         (F.col("is_joint_micro") == "1")
@@ -148,17 +163,21 @@ def joint_products(relations: DataFrame, t22: DataFrame, days: CloseDays) -> Dat
         "rel_",
     )
     held = on_day(t22, days.bank_day).select("id_product", "customer_number", "facility_id")
-    same = (
-        (F.col("customer_number") == F.col("rel_customer"))
-        & (F.substring("facility_id", 7, 3) == F.col("rel_branch"))
-        & (F.substring("facility_id", 10, 2) == F.col("rel_kind"))
-    )
-    matched = held.join(groups, same, "inner")
+    same = [
+        (F.col("customer_number"), F.col("rel_customer")),
+        (F.substring("facility_id", 7, 3), F.col("rel_branch")),
+        (F.substring("facility_id", 10, 2), F.col("rel_kind")),
+    ]
+    by = (F.col("id_product"), F.col("rel_joint_group"))
+    matched = join_spread(held, groups, same, by, rows_per_task)
     return one_row_per_key(matched, "id_product", ["rel_joint_group"], "joined_")
 
 
-def joint_flags(accounts, relations, t22, days: CloseDays, hot: HotKeys | None = None) -> DataFrame:
+def joint_flags(
+    accounts, relations, t22, days: CloseDays, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """``is_joint`` and ``joint_id`` of accounts in a joint loan."""
-    df = attach(accounts, joint_products(relations, t22, days), "id_product", "joined_key")
+    joint = joint_products(relations, t22, days, rows_per_task)
+    df = attach(accounts, joint, "id_product", "joined_key")
     values = {"is_joint": "1", "joint_id": F.col("joined_rel_joint_group")}
     return update_where(df, F.col("joined_found"), values).select(*accounts.columns)

@@ -9,13 +9,14 @@ final accounts, from which all outputs are read.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from duebook.config import OBSERVED, check_mode
+from duebook.config import LIMITS, OBSERVED, check_mode
 from duebook.functions.calendar import CloseDays
 from duebook.operators import (
     attributes,
@@ -61,17 +62,22 @@ class Close:
     mode: str = OBSERVED
     hot: HotKeys | None = None  # customers with very many accounts
     keep: Intermediate = field(default_factory=Intermediate)
-    largest_ids: Mapping[str, int] = field(default_factory=dict)  # by table, from ``sinks.largest_ids``
+    largest_ids: Mapping[str, int] = field(default_factory=dict)  # by table; others are looked up
+    placed: int = 0  # files that history, unwinding and register are placed in by product
 
     @classmethod
-    def of(cls, tables: Mapping[str, DataFrame], days=None, mode=OBSERVED, hot=None, largest_ids=None) -> Close:
+    def of(
+        cls, tables: Mapping[str, DataFrame], days=None, mode=OBSERVED, hot=None, largest_ids=None, placed=0, run=None
+    ) -> Close:
+        """``run`` names the inputs of a close that may be resumed, see :func:`fingerprint`."""
         check_mode(mode)
         if days is None:
             days = CloseDays.from_calendars(tables["w01_working_day"], tables["w02_ccworking_day"])
             days = days.resolved(tables[ACCOUNTS].sparkSession)
         if hot is None:
             hot = HotKeys.find(tables[ACCOUNTS], "customer_number")
-        return cls(tables, days, mode, hot, largest_ids=largest_ids or {})
+        keep = Intermediate(None if run is None else fingerprint(tables, days, mode, hot, placed, run))
+        return cls(tables, days, mode, hot, keep, largest_ids or {}, placed)
 
     def clear(self) -> None:
         """Delete the intermediate tables, once the outputs are written."""
@@ -82,12 +88,41 @@ class Close:
         return self.largest_ids.get(name, self.tables[name])
 
 
+# Tables that the accounts of a close are computed from.
+INPUTS = (
+    ACCOUNTS,
+    HISTORY,
+    "t22_card_balance",
+    "t20_exchange_rate",
+    "t26_writteoff_recovery",
+    "t01_customer",
+    "atmp_customer",
+    "atmp_joint_dpd",
+    "atmp_default_triggers",
+    "technical_default",
+    "tc08_configuration_table",
+    "vw_unwinding",
+)
+
+
+def fingerprint(tables: Mapping[str, DataFrame], days: CloseDays, mode: str, hot: HotKeys, placed: int, run: str) -> str:
+    """What decides the intermediate tables of a close: its name, days and settings, the
+    columns of its inputs and the names of their files."""
+    spark = tables[ACCOUNTS].sparkSession
+    parts = [run, mode, str(placed), repr(LIMITS), repr((hot.column, hot.values, hot.nulls, hot.salts))]
+    parts += map(str, days.dates(spark))
+    for name in INPUTS:
+        parts += [name, tables[name].schema.json(), *sorted(tables[name].inputFiles())]
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()
+
+
 # --- lookups ------------------------------------------------------------------
 
 
-def by_product(accounts: DataFrame) -> DataFrame:
-    """Accounts shuffled by product; the joins by product then leave them in place."""
-    return accounts.repartition("id_product")
+def by_product(accounts: DataFrame, placed: int = 0) -> DataFrame:
+    """Accounts shuffled by product; the joins by product then leave them in place, and
+    tables placed by product in so many files as well."""
+    return accounts.repartition(*([placed] if placed else []), "id_product")
 
 
 def attach_by_product(df: DataFrame, accounts: DataFrame, close: Close) -> DataFrame:
@@ -188,14 +223,14 @@ COMPUTED_LATE = (
 
 def default_engine(accounts: DataFrame, close: Close) -> DataFrame:
     """Detection, probation, contagion and attributes of a default."""
-    df = attach_by_customer(attach_by_product(by_product(accounts), accounts, close), close)
+    df = attach_by_customer(attach_by_product(by_product(accounts, close.placed), accounts, close), close)
     df = close.keep(detection_and_probation(df, close), "before-contagion")
     return contagion_and_attributes(df, close).select(*accounts.columns)
 
 
 def account_formulas(accounts: DataFrame, close: Close) -> DataFrame:
     """Everything computed per account."""
-    df = _formulas(by_product(accounts), accounts, close)
+    df = _formulas(by_product(accounts, close.placed), accounts, close)
     return df.select(*_columns(accounts, df))
 
 
@@ -229,23 +264,29 @@ def daily_close(close: Close, run_at: Column | None = None) -> dict[str, DataFra
     ``accounts``: today's accounts.  ``t17_dpd_credit_cards`` (accepted and
     rejected accounts), ``t18_cc_payment_schedule``, ``t14_unwinding`` (cards) and
     ``t19_default_events`` (new rows and today's rows that stay): the slices that
-    :func:`duebook.sources.sinks.publish` replaces.  ``t02_customer_product``: the
+    :func:`duebook.sources.history.publish` replaces.  ``t02_customer_product``: the
     whole table.  ``tc01_product_type``: new rows.
 
     Not lazy: frequent keys are counted and two intermediate tables are written
-    while the outputs are built.
+    while the outputs are built.  A close with a ``run`` that failed after one of them
+    reads it when it is called again.
     """
     tables, days = close.tables, close.days
     run_at = F.current_timestamp() if run_at is None else run_at
     stored = tables[ACCOUNTS]
-    carried = carry_forward.carry_forward(by_product(stored), tables[HISTORY], days)
+    carried = carry_forward.carry_forward(
+        by_product(stored, close.placed), tables[HISTORY], days, bool(close.placed)
+    )
     closed = _formulas(carried, stored, close)
     closed = close.keep(closed.select(*_columns(stored, closed, *KEPT_LOOKUPS)), "closed-accounts")
     accounts = closed.drop(*KEPT_LOOKUPS)
     event_rows = events.default_events(accounts, tables["tc_default_reason"], days)
-    register_rows = registers.product_register_source(closed)
+    register_rows = registers.product_register_source(closed, close.placed)
+    unwinding_rows = unwinding.unwinding_rows(closed)
+    if close.placed:
+        unwinding_rows = by_product(unwinding_rows, close.placed)
     unwound = unwinding.unwinding_amounts(
-        unwinding.unwinding_rows(closed), tables["t14_unwinding"], tables["t20_exchange_rate"], days
+        unwinding_rows, tables["t14_unwinding"], tables["t20_exchange_rate"], days
     )
     return {
         "accounts": accounts,

@@ -45,29 +45,77 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
+class Files:
+    """Folders and files of any file system that Spark knows."""
+
+    def __init__(self, spark: SparkSession):
+        self._jvm, self._conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def _at(self, path: str):
+        where = self._jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(self._conf), where
+
+    def exists(self, path: str) -> bool:
+        system, where = self._at(path)
+        return system.exists(where)
+
+    def delete(self, path: str) -> bool:
+        system, where = self._at(path)
+        return system.delete(where, True)
+
+    def create(self, path: str) -> None:
+        """An empty file; an error if there is one."""
+        system, where = self._at(path)
+        if not system.createNewFile(where):
+            raise FileExistsError(path)
+
+    def names(self, folder: str) -> list[str]:
+        """What is in a folder; nothing if there is none."""
+        system, where = self._at(folder)
+        if not system.exists(where):
+            return []
+        return sorted(status.getPath().getName() for status in system.listStatus(where))
+
+    def data_files(self, folder: str) -> list[str]:
+        return [name for name in self.names(folder) if name.endswith(".parquet")]
+
+    def folders(self, top: str, depth: int) -> list[str]:
+        """The folders of partitions ``depth`` levels below ``top``, by their path from it."""
+        found = [""]
+        for _ in range(depth):
+            found = [f"{above}/{name}".lstrip("/") for above in found for name in self.names(f"{top}/{above}") if "=" in name]
+        return found
+
+
 class Intermediate:
     """Tables written once and read back, and deleted when they are not needed any more.
 
     Results derived from one do not recompute what came before, read only the
-    columns they need, and survive the loss of executors.
+    columns they need, and survive the loss of executors.  With a ``key`` that stands for
+    all inputs, a later session finds the tables that an earlier one completed; each is
+    complete once its ``_SUCCESS`` file is there.
     """
 
-    def __init__(self) -> None:
+    def __init__(self, key: str | None = None) -> None:
+        self.key = key
         self.paths: list[tuple[SparkSession, str]] = []
 
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
-        """``df`` written and read back.  Accounts have more columns than Spark compiles
-        into one loop by default, so that limit is raised."""
+        """``df`` written, unless it was already, and read back.  Accounts have more
+        columns than Spark compiles into one loop by default, so that limit is raised."""
         spark = df.sparkSession
-        app = spark.sparkContext.applicationId
-        path = f"{shared_folder(spark)}/{app}/{name}-{uuid.uuid4().hex}"
-        with settings(spark, WIDE_ROWS):
-            df.write.parquet(path)
+        folder = shared_folder(spark)
+        if self.key:
+            path = f"{folder}/close-{self.key}/{name}"
+        else:
+            path = f"{folder}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
         self.paths.append((spark, path))
+        if not (self.key and Files(spark).exists(f"{path}/_SUCCESS")):
+            with settings(spark, WIDE_ROWS):
+                df.write.mode("overwrite").parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
     def clear(self) -> None:
         for spark, path in self.paths:
-            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            Files(spark).delete(path)
         self.paths = []

@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 8 << 20
 # Rows of one key that a task takes; more are spread.
 ROWS_PER_TASK = 200_000
-# Keys spread at most; any other key then has under 1 / MOST_HOT_KEYS of the rows.
-MOST_HOT_KEYS = 1_000
+# Frequent keys that an expression lists; more of them are joined as a small table.
+MOST_LISTED = 1_000
+# Frequent keys whose names fit into a broadcast for certain; see :meth:`HotKeys.find`.
+MOST_HOT_KEYS = 100_000
 
 
 def fits_in_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -82,14 +84,20 @@ class HotKeys:
     def find(
         cls, df: DataFrame, column: str, rows_per_task: int = ROWS_PER_TASK, most: int = MOST_HOT_KEYS
     ) -> HotKeys:
-        """The values with more than ``rows_per_task`` rows, the ``most`` frequent ones.
+        """All values with more than ``rows_per_task`` rows.
 
-        The most frequent one is spread so that a task gets ``rows_per_task`` of its
-        rows.  Reads one column and combines counts before the shuffle.
+        There are fewer than rows divided by ``rows_per_task`` of them; where that is more
+        than ``most``, a task takes four times the rows, until they are not.  The most
+        frequent one is spread so that a task gets ``rows_per_task`` of its rows.  Reads
+        one column and combines counts before the shuffle.
         """
         counts = df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
-        hot = counts.filter(F.col("n") > rows_per_task).orderBy(F.desc("n"), "value").limit(most)
-        found = hot.collect()
+        while True:
+            hot = counts.filter(F.col("n") > rows_per_task).orderBy(F.desc("n"), "value")
+            found = hot.limit(most + 1).collect()
+            if len(found) <= most:
+                break
+            rows_per_task *= 4
         values = tuple(row.value for row in found if row.value is not None)
         salts = max(2, -(-found[0].n // rows_per_task)) if found else 2
         return cls(column, values, len(values) < len(found), salts)
@@ -106,6 +114,17 @@ class HotKeys:
         return f"_salt_{self.column}"
 
 
+def _marked(df: DataFrame, hot: HotKeys, column: str) -> DataFrame:
+    """``df`` with ``_hot``: whether the column holds one of the values, NULL apart."""
+    if len(hot.values) <= MOST_LISTED:
+        is_hot = F.col(column).isin(*hot.values) if hot.values else F.lit(False)
+        return df.withColumn("_hot", F.coalesce(is_hot, F.lit(False)))
+    kind = df.schema[column].dataType.simpleString()
+    listed = df.sparkSession.createDataFrame([(v, True) for v in hot.values], f"_value {kind}, _listed boolean")
+    joined = df.join(F.broadcast(listed), F.col(column) == F.col("_value"), "left")
+    return joined.withColumn("_hot", F.col("_listed").isNotNull()).drop("_value", "_listed")
+
+
 def spread_rows(df: DataFrame, hot: HotKeys | None, spread: str) -> DataFrame:
     """``df`` with the salt that several :func:`attach` calls on one column share.
 
@@ -115,10 +134,9 @@ def spread_rows(df: DataFrame, hot: HotKeys | None, spread: str) -> DataFrame:
     if not hot:
         return df
     bucket = F.pmod(F.xxhash64(F.col(spread)), F.lit(hot.salts)).cast("int")
-    is_hot = F.col(hot.column).isNull()
-    if hot.values:
-        is_hot = is_hot | F.col(hot.column).isin(*hot.values)
-    return df.withColumn(hot.salt_column, F.when(is_hot, bucket).otherwise(F.lit(0)))
+    is_hot = F.col(hot.column).isNull() | F.col("_hot")
+    marked = _marked(df, hot, hot.column)
+    return marked.withColumn(hot.salt_column, F.when(is_hot, bucket).otherwise(F.lit(0))).drop("_hot")
 
 
 def attach(
@@ -141,12 +159,9 @@ def attach(
         return df.join(lookup, match, "left").drop(*key)
 
     salted = df if hot.salt_column in df.columns else spread_rows(df, hot, spread)
-    hot_key = F.col(key[on.index(hot.column)])
-    copies = F.array(F.lit(0))
-    if hot.values:
-        every = F.sequence(F.lit(0), F.lit(hot.salts - 1))
-        copies = F.when(hot_key.isin(*hot.values), every).otherwise(copies)
-    repeated = lookup.withColumn("_copy", F.explode(copies))
+    every = F.sequence(F.lit(0), F.lit(hot.salts - 1))
+    copies = F.when(F.col("_hot"), every).otherwise(F.array(F.lit(0)))
+    repeated = _marked(lookup, hot, key[on.index(hot.column)]).withColumn("_copy", F.explode(copies)).drop("_hot")
     joined = salted.join(repeated, match & (F.col(hot.salt_column) == F.col("_copy")), "left")
     added = [] if hot.salt_column in df.columns else [hot.salt_column]
     return joined.drop(*key, "_copy", *added)
@@ -165,9 +180,57 @@ def attach_small(
     return attach(df, lookup, on, key, spread, HotKeys.find(df, on))
 
 
-def spread_nulls(on: str) -> HotKeys:
-    """For a key that is mostly NULL: no hot values, NULL rows spread over tasks."""
-    return HotKeys(on, nulls=True, salts=64)
+def join_spread(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[tuple[Column, Column]],
+    spread: tuple[Column, Column],
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """Inner join on equal expressions, NULL never equal, in tasks of bounded size.
+
+    Rows of both sides are counted by key, combined before the shuffle.  A key with more
+    than ``rows_per_task`` rows on one side is dealt into parts of that size by a hash of
+    the ``spread`` expression of that side, and the other side's rows of the key go to
+    each part; where both sides have many, a task gets a part of each.  The keys dealt
+    are broadcast; where they would not fit, parts are made larger until they do.
+    """
+    keys = [f"_key{i}" for i in range(len(on))]
+    sides = []
+    for side, (df, by) in enumerate(zip((left, right), spread, strict=True)):
+        given = {name: pair[side] for name, pair in zip(keys, on, strict=True)}
+        known = reduce(and_, (F.col(k).isNotNull() for k in keys))
+        sides.append(df.withColumns({**given, f"_by{side}": F.xxhash64(by)}).where(known))
+    hot = _parts_by_key(sides, keys, rows_per_task)
+    if hot is None:
+        joined = sides[0].join(sides[1], keys)
+        return joined.drop(*keys, "_by0", "_by1")
+    dealt = []
+    for side, df in enumerate(sides):
+        marked = df.join(F.broadcast(hot), keys, "left")
+        own = F.pmod(F.col(f"_by{side}"), F.coalesce(f"_parts{side}", F.lit(1))).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.coalesce(f"_parts{1 - side}", F.lit(1)).cast("int") - 1))
+        placed = marked.withColumn(f"_part{side}", own).withColumn(f"_part{1 - side}", every)
+        dealt.append(placed.drop("_parts0", "_parts1", f"_by{side}"))
+    return dealt[0].join(dealt[1], [*keys, "_part0", "_part1"]).drop(*keys, "_part0", "_part1")
+
+
+def _parts_by_key(sides: Sequence[DataFrame], keys: Sequence[str], rows_per_task: int) -> DataFrame | None:
+    """The number of parts of each side for the keys that need several; None for none."""
+    each = [df.select(*keys, F.lit(i).alias("_side")) for i, df in enumerate(sides)]
+    many = each[0].union(each[1]).groupBy(*keys)
+    counts = many.agg(*(F.count(F.when(F.col("_side") == i, 1)).alias(f"_n{i}") for i in (0, 1)))
+    while True:
+        hot = counts.where(F.greatest("_n0", "_n1") > rows_per_task)
+        parts = [F.ceil(F.col(f"_n{i}") / rows_per_task).alias(f"_parts{i}") for i in (0, 1)]
+        found = hot.select(*keys, *(F.greatest(p, F.lit(1)).alias(f"_parts{i}") for i, p in enumerate(parts))).limit(MOST_HOT_KEYS + 1).collect()
+        if len(found) <= MOST_HOT_KEYS:
+            break
+        rows_per_task *= 4
+    if not found:
+        return None
+    kinds = ", ".join(f"{k} {sides[0].schema[k].dataType.simpleString()}" for k in keys)
+    return sides[0].sparkSession.createDataFrame(found, f"{kinds}, _parts0 long, _parts1 long")
 
 
 def missing_from(candidates: DataFrame, known: DataFrame, key: Column, known_key: Column):

@@ -1,14 +1,13 @@
-"""Writing results.  A result never overwrites files it is still being read from."""
+"""Writing files that nothing else is kept in; see :mod:`duebook.sources.store` for tables
+that change."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 DAY_PARTITION = ("working_day",)
-COMMITS, COMMIT = "commits", "largest_id long, name string"
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = DAY_PARTITION) -> None:
@@ -16,52 +15,6 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = DAY_PARTITION
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-# What one close replaces in each table: the partitions that hold its rows.
-SLICES: dict[str, tuple[str, ...]] = {
-    "t17_dpd_credit_cards": ("working_day",),
-    "t18_cc_payment_schedule": ("working_day",),
-    "t14_unwinding": ("working_day", "product_group"),
-    "t19_default_events": ("event_start_date",),
-}
-
-
-def overwrite_slices(df: DataFrame, path: str, partition_by: Sequence[str] = DAY_PARTITION) -> None:
-    """Replace the partitions that ``df`` has rows for; a rerun gives the same table.
-
-    ``df`` must hold all rows of its partitions: others of the same partition go.
-    """
-    missing = [c for c in partition_by if c not in df.columns]
-    if missing:
-        raise ValueError(f"rows without their slice columns {missing}")
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*partition_by).parquet(path)
-
-
-def publish(outputs: Mapping[str, DataFrame], root: str, tables: Sequence[str] = tuple(SLICES)) -> None:
-    """Write a close's history tables below ``root``, each by its own slices.
-
-    Rows of other days, of other product groups and, in the event log, those that
-    the close kept stay.  Publishing a close twice gives the same tables.
-    """
-    root = root.rstrip("/")
-    for name in tables:
-        rows, seen = outputs[name], Observation(name)
-        if "autoid" in rows.columns:
-            rows = rows.observe(seen, F.max(F.col("autoid").cast("long")).alias("largest_id"))
-        overwrite_slices(rows, f"{root}/{name}", SLICES[name])
-        if "autoid" in rows.columns and seen.get["largest_id"] is not None:
-            spark = rows.sparkSession
-            commit = spark.createDataFrame([(seen.get["largest_id"], name)], COMMIT)
-            append(commit, f"{root}/{COMMITS}", ["name"])
-
-
-def largest_ids(spark: SparkSession, root: str) -> dict[str, int]:
-    """The largest id of each table that was published; reads one row per commit."""
-    commits = spark.read.schema(COMMIT).parquet(f"{root.rstrip('/')}/{COMMITS}")
-    found = commits.groupBy("name").agg(F.max("largest_id").alias("largest")).collect()  # a row for each table
-    return {r["name"]: r["largest"] for r in found if r["largest"] is not None}
-
-
 def write_version(df: DataFrame, path: str, version: str) -> str:
     """A whole table as a new version next to the old ones; returns its path."""
     target = f"{path.rstrip('/')}/version={version}"

@@ -5,13 +5,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from duebook.plans.lineage import Intermediate, name_folder, shared_folder
+from duebook.plans import lookups
 from duebook.plans.lookups import (
     HotKeys,
     attach,
     attach_small,
     fits_in_broadcast,
+    join_spread,
     one_row_per_key,
-    spread_nulls,
     spread_rows,
 )
 
@@ -40,6 +41,47 @@ def test_hot_keys_are_few_and_exact(spark):
     assert HotKeys.find(df, "c", rows_per_task=100).salts == 20  # 2000 rows, 100 to a task
     assert not HotKeys.find(df.filter("c <> 'hot'"), "c", rows_per_task=nulls)
     assert len(HotKeys.find(df, "c", rows_per_task=1, most=7).values) <= 7
+    every = HotKeys.find(df, "c", rows_per_task=1)
+    repeated = df.filter("c is not null").groupBy("c").count().filter("count > 1").count()
+    assert len(every.values) == repeated > 600
+
+
+def test_more_frequent_keys_than_an_expression_lists(spark, monkeypatch):
+    monkeypatch.setattr(lookups, "MOST_LISTED", 100)
+    df, lookup = accounts(spark), customers(spark)
+    hot = HotKeys.find(df, "c", rows_per_task=1)
+    got, plain = attach(df, lookup, "c", "l_key", "id_product", hot), attach(df, lookup, "c", "l_key")
+    assert got.columns == plain.columns and got.exceptAll(plain).isEmpty() and got.count() == plain.count()
+
+
+@pytest.mark.parametrize("limit", [10, 300, 100_000])
+def test_inner_join_dealt_by_measured_keys(spark, limit):
+    """One key with a third of the left rows and one with many on both sides."""
+    left = accounts(spark).withColumn("k", F.length("id_product"))
+    right = spark.range(400).selectExpr(
+        "case when id % 4 = 0 then 'hot' when id % 50 = 1 then null else concat('c', id % 9) end as r", "cast(id % 5 as int) as m", "id as v")
+    on = [(F.col("c"), F.col("r")), (F.col("k"), F.col("m"))]
+    dealt = join_spread(left, right, on, (F.col("id_product"), F.col("v")), limit)
+    plain = left.join(right, (F.col("c") == F.col("r")) & (F.col("k") == F.col("m")))
+    assert dealt.columns == plain.columns
+    assert dealt.exceptAll(plain).isEmpty() and dealt.count() == plain.count() > 1000
+
+
+def test_dealt_parts_are_bounded(spark):
+    sides = [
+        accounts(spark).selectExpr("c as _key0", "id_product").where("c is not null"),
+        spark.range(500).selectExpr("'hot' as _key0", "id"),
+    ]
+    parts = {r["_key0"]: (r["_parts0"], r["_parts1"]) for r in lookups._parts_by_key(sides, ["_key0"], 100).collect()}
+    assert parts == {"hot": (20, 5)}
+    assert lookups._parts_by_key(sides, ["_key0"], 5000) is None
+
+
+def test_few_parts_where_very_many_keys_are_frequent(spark, monkeypatch):
+    monkeypatch.setattr(lookups, "MOST_HOT_KEYS", 5)
+    sides = [spark.range(400).selectExpr("id % 40 as _key0"), spark.range(10).selectExpr("id as _key0")]
+    assert lookups._parts_by_key(sides, ["_key0"], 3) is None  # 12 would do for each
+    assert HotKeys.find(sides[0], "_key0", rows_per_task=3, most=5).values == ()
 
 
 def test_spread_join_gives_the_same_rows(spark):
@@ -51,7 +93,7 @@ def test_spread_join_gives_the_same_rows(spark):
     assert sorted(map(tuple, spread.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
     shared = attach(spread_rows(df, hot, "id_product"), lookup, "c", "l_key", "id_product", hot)
     assert shared.drop(hot.salt_column).exceptAll(plain).isEmpty()
-    nulls = attach(df, lookup, "c", "l_key", "id_product", spread_nulls("c"))
+    nulls = attach(df, lookup, "c", "l_key", "id_product", HotKeys("c", nulls=True, salts=64))
     assert nulls.exceptAll(plain).isEmpty() and nulls.count() == plain.count()
 
 

@@ -16,7 +16,7 @@ from duebook.plans.update import (
     with_surrogate_key,
 )
 from duebook.schema import SNAPSHOT, TABLES, error_snapshot
-from duebook.sources.sinks import SLICES, append, largest_ids, overwrite_slices, publish, write_version
+from duebook.sources.sinks import append, write_version
 from duebook.sources.tables import parquet_tables
 
 
@@ -76,9 +76,7 @@ def test_sinks(spark, tmp_path):
     root = str(tmp_path)
     day = lambda n, v: spark.createDataFrame([(n, v)], "working_day int, v string")
     append(day(1, "a"), f"{root}/t")
-    append(day(2, "b"), f"{root}/t")
-    overwrite_slices(day(2, "c"), f"{root}/t")
-    overwrite_slices(day(2, "c"), f"{root}/t")
+    append(day(2, "c"), f"{root}/t")
     append(day(3, "x").filter("false"), f"{root}/t")
     table = parquet_tables(spark, root, ["t"])["T"]
     assert rows(table.select("working_day", "v")) == [(1, "a"), (2, "c")]
@@ -86,27 +84,6 @@ def test_sinks(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
 
 
-def test_publishing_replaces_slices_only(spark, tmp_path):
-    root, table = str(tmp_path), "t14_unwinding"
-
-    def day(ids, day, group, v):
-        rows = [(i, day, group, v) for i in ids]
-        df = spark.createDataFrame(rows, "autoid long, working_day string, product_group string, v string")
-        return df.withColumn("working_day", F.to_date("working_day"))
-
-    before = day([1, 2], "2024-01-29", "CC", "old").union(day([3], "2024-01-30", "LN", "loan"))
-    overwrite_slices(before.union(day([4], "2024-01-30", "CC", "gone")), f"{root}/{table}", SLICES[table])
-    new = with_surrogate_key(day([0, 0], "2024-01-30", "CC", "new"), 4)
-    for _ in range(2):
-        publish({table: new}, root, [table])
-    got = spark.read.parquet(f"{root}/{table}").collect()
-    assert sorted(r.v for r in got) == ["loan", "new", "new", "old", "old"]
-    ids = [r.autoid for r in got]
-    assert len(ids) == len(set(ids)) and largest_ids(spark, root) == {table: max(ids)}
-    with pytest.raises(ValueError, match="product_group"):
-        overwrite_slices(new.drop("product_group"), f"{root}/{table}", SLICES[table])
-
-
 def test_ids_from_a_known_largest_one_read_no_history(spark):
     assert min(r.autoid for r in with_surrogate_key(spark.range(5), 100).collect()) > 100
 
@@ -116,7 +93,7 @@ def test_trigger_events_are_read_by_day(spark, tmp_path):
     flags = dict.fromkeys(t.flag for t in TRIGGERS)
     day = "date '2023-08-01' + cast(id * 4 as int) as working_day"
     rows = spark.range(60).selectExpr(day, "'c' as nrp_customer", "'p' as id_product", *[f"'1' as {f}" for f in flags])
-    overwrite_slices(rows, f"{tmp_path}/events")
+    append(rows, f"{tmp_path}/events")
     events = spark.read.parquet(f"{tmp_path}/events")
     accounts = spark.sql("select 'p' as id_product, date '2024-01-30' as working_day")
     today = datetime.date(2024, 1, 30)
