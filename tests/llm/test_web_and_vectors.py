@@ -1,7 +1,8 @@
 """Pages, archives, URLs, vectors and pieces."""
 
 import random
-from collections import Counter
+import time
+from collections import Counter, defaultdict
 from itertools import product
 
 import numpy as np
@@ -36,8 +37,78 @@ def test_wrappers_are_not_beside_the_article(wrapper):
     assert html_text.extract(f"{open_}<main>Text</main>{close}", None, None) == "Text"
     assert html_text.extract(f"{open_}<p>A text of its own, without an article</p>{close}", None, None) == "A text of its own, without an article\n\nlow"
     assert html_text.extract("<main>Text</main><div class=related><article>A longer text beside the short one</article></div>", None, None) == "Text"
-    known = ["/div[menu]/p\n" + html_text._mark("Links that every page of the host has")]
-    assert html_text.extract("<div class=menu><p>Links that every page of the host has</p></div><p>Short</p>", known, None) == "Short"
+    menu = "<div class=menu><p>Links that every page of the host has</p></div><p>Short</p>"
+    known = [html_text._said(place, text) for place, *_, text in html_text.Page(menu).read if text.startswith("Links")]
+    assert html_text.extract(menu, known, None) == "Short"
+
+
+def test_comments_of_readers_are_left_out():
+    """Also where they are longer than the post and no article tells it apart."""
+    talk = "<p>I think that this is a very good post and have much to say</p>" * 9
+    for name in ("class=comments", "id=comment-list", "class='post-comments wide'"):
+        assert html_text.extract(f"<body><p>Short post</p><div {name}>{talk}</div></body>", None, None) == "Short post"
+        assert html_text.extract(f"<body><article><p>Short post</p><div {name}>{talk}</div></article></body>", None, None) == "Short post"
+    assert html_text.extract("<div class=comments><article>Post</article></div>", None, None) == "Post"
+    assert html_text.extract("<div class=alert><p>Buy</p></div><article><p>a</p><div class=alert><p>Most of the article's text</p></div></article>", None, None) == "a\n\nMost of the article's text"
+    assert html_text.extract("<article><p>The article's own text</p><div class=alert>Buy</div></article>", None, None) == "The article's own text"
+
+
+def test_markup_comments_that_end_at_once():
+    for empty in ("<!-->", "<!--->", "<!-- x -->", "<!-- x --!>"):
+        assert html_text.extract(f"<p>a</p>{empty}<p>b</p><!-- c --><p>d</p>", None, None) == "a\n\nb\n\nd"
+
+
+def test_deep_nesting_is_linear():
+    for page in ("<div>" * 100_000 + "x", "<p>" + "<span>" * 50_000 + "<div></b>" * 50_000 + "x", "<div class=ad>" * 50_000 + "x"):
+        began = time.perf_counter()
+        read = html_text.Page(page)
+        assert [t for *_, t in read.blocks() if t] == ["x"]
+        assert len(read.within("")) == len(read.parent) and time.perf_counter() - began < 20
+
+
+def classes_of(pages):
+    """(said, container) of one host's pages, from whole occurrence vectors."""
+    vectors, size = defaultdict(lambda: [0] * len(pages)), Counter()
+    above = {}
+    for i, html in enumerate(pages):
+        page = html_text.Page(html)
+        above |= page.parent
+        for place, dropped, main, text in page.blocks():
+            if text and dropped == 2:
+                continue
+            token = (place, html_text._mark(text) if text else "")
+            vectors[token][i] += 1
+            if text and not dropped:
+                long = len(text) * (2 if main else 1)
+                size[token] += long
+                size[page.parent[place], ""] += long
+    seen = {t: sum(map(bool, v)) for t, v in vectors.items()}
+    often = {t: tuple(v) for t, v in vectors.items() if seen[t] >= 0.9 * max(seen.values())}
+    groups = defaultdict(list)
+    for token, vector in often.items():
+        groups[vector].append(token)
+    valid = {t for g in groups.values() if len(g) > 1 and any(not mark for _, mark in g) for t in g}
+    slots = Counter()
+    for place, mark in valid:
+        slots[above[place] if mark else place] += -size[place, mark] if mark else size[place, mark]
+    slots = {p: n for p, n in slots.items() if (p, "") in valid}
+    best = max(slots.items(), key=lambda x: (x[1], x[0]), default=("", 0))
+    return {f"{p}\n{m}" for p, m in valid if m}, best[0] if best[1] > 0 else None
+
+
+def test_templates_against_whole_vectors(spark):
+    rng = random.Random(8)
+    rows = []
+    for host in range(5):
+        parts = [f"<div class=c{rng.randint(0, 3)}><p>fixed {host} {k}</p></div>" for k in range(4)]
+        for i in range(rng.randint(4, 9)):
+            body = "".join(rng.choice(["<p>t {} {}</p>", "<article><p>a {} {}</p></article>", "<form>f</form>", "<nav>n</nav>"]).format(i, rng.random()) for _ in range(rng.randint(1, 5)))
+            shown = [x for x in parts if rng.random() < 0.95]
+            rows.append((f"h{host}", len(rows), f"<body>{''.join(shown[:2])}<div id=body>{body}</div>{''.join(shown[2:])}</body>"))
+    df = spark.createDataFrame(rows, "host string, key long, html string").repartition(4)
+    got = {r.host: (set(r.said), r.container) for r in html_text.templates(df).collect()}
+    want = {f"h{h}": classes_of([x for host, _, x in rows if host == f"h{h}"]) for h in range(5)}
+    assert got == want and any(said for said, _ in want.values())
 
 
 def site(n, text):
