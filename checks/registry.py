@@ -49,7 +49,7 @@ from duebook.plans.update import (
     with_surrogate_key,
 )
 from duebook.schema import SCHEDULE, SNAPSHOT, TABLES, error_snapshot
-from duebook.sources.history import history_store, publish
+from duebook.sources.history import close_tables, history_store, publish
 from duebook.sources.sinks import append, write_version
 from duebook.sources.store import Add, ReplaceAll, Store, Stored, Update
 from duebook.sources.tables import Tables, split_rows
@@ -93,10 +93,22 @@ class Context:
         """All outputs of one daily close."""
         return plans.daily_close(self.close(), _run_at())
 
-    def close(self, mode: str = "observed", run: str | None = None) -> plans.Close:
+    @property
+    def staged(self) -> Tables:
+        """Tables as a close finds them."""
         staging = {T17: TODAY, "err_atmp_t17_dpd_credit_cards": "err_today"}
-        tables = Tables(lambda name: self.bank[staging.get(name, name)])
-        return plans.Close.of(tables, self.days, mode, self.hot, run=run)
+        return Tables(lambda name: self.bank[staging.get(name, name)])
+
+    def close(self, mode: str = "observed", run: str | None = None) -> plans.Close:
+        return plans.Close.of(self.staged, self.days, mode, self.hot, run=run)
+
+    def close_of_a_store(self, name: str) -> DataFrame:
+        """A stored table after a whole close that reads its tables in place."""
+        store = self.store("t17_dpd_credit_cards", "t14_unwinding", "t19_default_events", "t02_customer_product", "tc01_product_type")
+        tables = close_tables(store, self.staged, self.days)
+        close = plans.Close.of(tables, self.days, hot=self.hot, placed=4)
+        publish(plans.daily_close(close, _run_at()), store, self.days)
+        return store.read(name)
 
     def store(self, *names: str, buckets: int = 4) -> Store:
         """A new store that holds the tables named."""
@@ -888,6 +900,9 @@ add("w2_daily_close_history", _columns_of(SNAPSHOT), lambda c: c.outputs["t17_dp
 add("w2_published_history", _columns_of(SNAPSHOT), lambda c: c.published("t17_dpd_credit_cards"),
     [TODAY, "err_today", *CLOSE_TABLES],
     f"{_history} union all select working_day, {', '.join(SNAPSHOT_COLUMNS)} from t17_dpd_credit_cards where working_day <> {q.CC}", _ctes)
+add("w2_close_of_a_store", _columns_of(SNAPSHOT), lambda c: c.close_of_a_store("t17_dpd_credit_cards"),
+    [TODAY, "err_today", *CLOSE_TABLES],
+    f"{_history} union all select working_day, {', '.join(SNAPSHOT_COLUMNS)} from t17_dpd_credit_cards where working_day <> {q.CC}", _ctes)
 add("w2_history_ids", "n:i ids:i above:b",
     lambda c: c.outputs["t17_dpd_credit_cards"].agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("autoid").alias("ids"),

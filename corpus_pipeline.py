@@ -57,9 +57,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
-    scratch = Scratch(spark)
+    """All stages over the documents of ``sf_dir``.  The table of a stage is deleted once
+    the next one is written."""
+    before = Scratch(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = scratch.cut(stage(spark, docs, sf_dir))
+        now = Scratch(spark)
+        docs = now.cut(stage(spark, docs, sf_dir))
+        before.clear()
+        before = now
     return STAGES[-1][1](spark, docs, sf_dir)
