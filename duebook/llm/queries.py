@@ -49,13 +49,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
-    model = fit_toxicity(docs, _read(spark, sf_dir, "labels"))
-    scored = docs.select(
-        "doc_id",
-        F.coalesce(fold(F.col("doc_id")) == HELD_OUT, F.lit(False)).alias("held_out"),
-        model.score(F.col("text")).alias("score"),
-    )
-    return scored.withColumn("predicted", (F.col("score") >= REJECT).cast("int"))
+    scored = fit_toxicity(docs, _read(spark, sf_dir, "labels")).scored(docs.select("doc_id", "text"))
+    held_out = F.coalesce(fold(F.col("row.doc_id")) == HELD_OUT, F.lit(False))
+    found = scored.select("row.doc_id", held_out.alias("held_out"), "score")
+    return found.withColumn("predicted", (F.col("score") >= REJECT).cast("int"))
 
 
 def op5_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:

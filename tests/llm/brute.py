@@ -214,3 +214,71 @@ def languages(rows, order, fold):
         sums = {x: math.log(docs[x]) + sum(math.log((counts[x][g] + 0.1) / (counts[x].total() + 6553.6)) for g in found) for x in docs}
         out[i] = max(sums, key=sums.get) if found else "und"
     return out
+
+
+def spelled_ratios(counts, words, order=6, shared=2, discount=0.75, letter=1 / 200):
+    """{word: log-likelihood ratio} by two Kneser-Ney models of the words' document counts
+    (ordinary, toxic), each probability worked out from plain counts."""
+    def ends(word):
+        s = f"^{word}$"
+        return [s[max(0, e - order) : e] for e in range(2, len(s) + 1)]
+
+    top = defaultdict(lambda: [0, 0])
+    for word, pair in counts.items():
+        for gram in ends(word):
+            for k in (0, 1):
+                top[gram][k] += pair[k]
+    tables, grams = {}, {g: v for g, v in top.items() if len(g) == order}
+    for n in range(order, 0, -1):
+        if n < order:
+            before = defaultdict(lambda: [0, 0])
+            for gram, pair in grams.items():
+                for k in (0, 1):
+                    before[gram[1:]][k] += pair[k] > 0
+            for gram, pair in top.items():
+                if len(gram) == n and gram[0] == "^":
+                    for k in (0, 1):
+                        before[gram][k] += pair[k]
+            grams = dict(before)
+        sums = [sum(v[k] for v in grams.values()) for k in (0, 1)]
+        least = min((x for x in sums if x), default=0)
+        scaled = {g: [v[k] * least / sums[k] if sums[k] else 0.0 for k in (0, 1)] for g, v in grams.items()}
+        if n <= shared:
+            scaled = {g: [sum(v)] * 2 for g, v in scaled.items()}
+        of = defaultdict(list)
+        for gram, pair in scaled.items():
+            of[gram[:-1]].append((gram, pair))
+        tables[n] = {}
+        for context, rows in of.items():
+            for k in (0, 1):
+                total = sum(v[k] for _, v in rows)
+                own = {g: (v[k] - discount * min(v[k], 1)) / total if total else 0.0 for g, v in rows}
+                tables[n][context, k] = own, 1 - sum(own.values())
+
+    def p(gram, k):
+        if not gram:
+            return letter
+        shorter = p(gram[1:], k)
+        own = tables[len(gram)].get((gram[:-1], k))
+        return shorter if own is None else own[0].get(gram, 0.0) + own[1] * shorter
+
+    return {w: sum(math.log(p(g, 1) / p(g, 0)) for g in ends(w)) for w in words}
+
+
+def toxic_gains(rows, labels, mixed=0.05, noise=3.0):
+    """{id: mean gain} of (id, text) rows with distinct ids, from (id, toxic) labels."""
+    def found(text):
+        return re.findall(r"[^\W_]+", (text or "").lower())
+
+    toxic = {}
+    for i, label in labels:
+        if label is not None:
+            toxic[i] = max(toxic.get(i, 0), int(label > 0))
+    counts = defaultdict(lambda: [0, 0])
+    for i, text in rows:
+        if i in toxic and (draw := zlib.crc32(str(i).encode())) % 4 != 2 and draw // 4 % 4 != 0:
+            for word in set(found(text)):
+                counts[word][toxic[i]] += 1
+    ratios = spelled_ratios(counts, {w for _, text in rows for w in found(text)})
+    gains = {w: math.log((1 - mixed + mixed * math.exp(r)) / (1 - mixed)) if r > noise else 0.0 for w, r in ratios.items()}
+    return {i: sum(map(gains.get, found(text))) / len(found(text)) if found(text) else 0.0 for i, text in rows}

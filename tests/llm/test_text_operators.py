@@ -1,6 +1,7 @@
 """Line dedup, SimHash, quality rules, toxicity and packing."""
 
 import random
+import time
 import zlib
 
 import brute
@@ -184,42 +185,52 @@ def labelled(spark, n=900):
     return spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), dict((a, c) for a, _, c in labels)
 
 
+def scores_of(model, docs):
+    return {r.doc_id: r.score for r in model.scored(docs).select("row.doc_id", "score").collect()}
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs, labels, truth = labelled(spark)
     model = toxicity.fit_toxicity(docs, labels)
-    scores = {r.doc_id: r.s for r in docs.select("doc_id", model.score(F.col("text")).alias("s")).collect()}
+    scores = scores_of(model, docs)
     held = [i for i in truth if zlib.crc32(str(i).encode()) % 4 == 2]
     hits = sum(scores[i] >= 0.3 for i in held if truth[i]) / sum(truth[i] for i in held)
     false = sum(scores[i] >= 0.3 for i in held if not truth[i]) / sum(1 - truth[i] for i in held)
     assert hits > 0.95 and false < 0.02
     turned = labels.withColumn("toxic", F.when(toxicity.fold(F.col("doc_id")) == 2, 1 - F.col("toxic")).otherwise(F.col("toxic")))
-    again = toxicity.fit_toxicity(docs, turned)
-    assert again.table == model.table and (again.slope, again.offset) == (model.slope, model.offset)
+    assert scores_of(toxicity.fit_toxicity(docs, turned), docs) == scores
+    # ordinary words count against a text
+    longer = docs.where("doc_id < 200").withColumn("text", F.concat("text", F.lit(" ka lo mi re su"), F.repeat(F.lit(" kalo"), 50)))
+    assert all(s <= scores[i] for i, s in scores_of(model, longer).items())
+
+
+def test_toxicity_models_against_plain_counts(spark):
+    rng = random.Random(4)
+    counts = {"".join(rng.choice("abcd") for _ in range(rng.randint(1, 9))): (rng.randint(0, 30), rng.randint(0, 3)) for _ in range(200)}
+    words = [*list(counts)[:60], "zz", "abz", "é", "a" * 40, "dcbadcba"]
+    for some in (counts, {w: (n, 0) for w, (n, _) in counts.items()}, {}):
+        scratch = Scratch(spark)
+        orders = toxicity.fit_orders(spark.createDataFrame([(w, *c) for w, c in some.items()], "word string, c0 long, c1 long"), scratch)
+        asked = spark.createDataFrame([(w,) for w in words], "word string").repartition(3)
+        found = {r.word: r.ratio for r in toxicity.word_ratios(asked, orders, scratch).collect()}
+        assert found == pytest.approx(brute.spelled_ratios(some, words), abs=1e-9)
+    assert set(found.values()) == {0.0}  # nothing was learned
 
 
-def test_toxicity_speller_is_kneser_ney():
-    words = {"ab": (3, 1), "abc": (0, 2), "b": (5, 0)}
-    order, counts = toxicity.ORDER, {}
-    for word, c in words.items():
-        s = f"^{word}$"
-        for e in range(2, len(s) + 1):
-            gram = s[max(0, e - order) : e]
-            counts[gram] = tuple(a + b for a, b in zip(counts.get(gram, (0, 0)), c))
-    assert counts["^a"] == (3, 3) and counts["^ab$"] == (3, 1)
-    empty = toxicity.Speller({}, {})
-    assert empty.text(None) == 0 and empty.text("") == 0 and empty.ratio("any") == 0
+def test_toxicity_joins_alike_by_broadcast_and_by_shuffle(spark, odd):
+    telling = spark.createDataFrame([("a", 2.0), ("j", 0.5), ("line", 1.0)], "word string, gain double")
+    sent, joined = ({str(r) for r in toxicity.with_mean_gain(odd, telling, limit).collect()} for limit in (1 << 20, 0))
+    assert sent == joined and len(sent) > 5
 
 
 def test_toxicity_of_odd_rows(spark, odd, none):
-    docs, labels, _ = labelled(spark, 300)
     odd_labels = spark.createDataFrame([(1, 0, 1), (1, 0, 0), (None, None, 1), (6, None, None), (7, 1, 0)], "doc_id long, quality int, toxic int")
     for these in (odd_labels, odd_labels.limit(0)):
         kept = toxicity.toxicity_filter(odd, these)
         assert kept.columns == odd.columns
         assert kept.where("doc_id in (2, 3, 4)").count() == 3
     assert toxicity.toxicity_filter(none, odd_labels).count() == 0
-    model = toxicity.fit_toxicity(docs, labels)
-    scores = [r.s for r in odd.select(model.score(F.col("text")).alias("s")).collect()]
+    scores = [r.score for r in toxicity.fit_toxicity(odd, odd_labels).scored(odd).collect()]
     assert len(scores) == len(odd_rows()) and all(0 <= s <= 1 for s in scores)
 
 
@@ -230,6 +241,24 @@ def test_best_fit_against_trying_every_bin():
         assert [b for b, _ in packing.best_fit(items, 50)] == brute.best_fit(items, 50)
 
 
+def test_best_fit_in_small_blocks(monkeypatch):
+    rng = random.Random(16)
+    for block in (1, 3, 20):
+        monkeypatch.setattr(packing, "_BLOCK", block)
+        for hot in (0.0, 0.5, 0.95):
+            items = [(rng.randint(1, 30), "hot" if rng.random() < hot else rng.choice((None, *"abcdef")), rng.choice((None, *range(60)))) for _ in range(300)]
+            items.sort(key=lambda x: -x[0])
+            assert [b for b, _ in packing.best_fit(items, 60)] == brute.best_fit(items, 60)
+
+
+def test_best_fit_of_one_source_is_fast():
+    began = time.perf_counter()
+    found = packing.best_fit([(10, "s", k) for k in range(26_000)], 4096)
+    assert [b for b, _ in found] == list(range(26_000))
+    copies = packing.best_fit([(10, f"s{k}" if k % 3 else "s", "copies" if k % 2 else k) for k in range(26_000)], 4096)
+    assert max(s for _, s in copies) > 1 and time.perf_counter() - began < 20
+
+
 def test_packing_covers_all_words_without_conflicts(spark, odd, none):
     rng = random.Random(7)
     docs = [(i, " ".join("w" for _ in range(rng.choice((1, 5, 30, 90)))) + f" {i % 40}", rng.choice(("a", "b", "c", None))) for i in range(300)]
