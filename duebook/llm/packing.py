@@ -19,6 +19,7 @@ texts.
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from collections import Counter
 from collections.abc import Iterable
 
 import pyarrow as pa
@@ -31,6 +32,7 @@ CAPACITY = 4096
 SHARD = 1 << 18
 SLACK = 1 / 64
 SETTLED = 1 / 1000
+_BLOCK = 512  # bins
 
 _PLACED = "shard int, bin int, slot int, doc_id bigint, piece int, first_word bigint, n_words bigint, source string, cluster bigint"
 _ROUND = _PLACED + ", full_bin int"
@@ -43,37 +45,98 @@ def text_cluster(text: Column) -> Column:
     return F.when(F.size(found) > 0, F.xxhash64(F.translate(F.array_join(found, " "), upper, lower)))
 
 
+class _OpenBins:
+    """Bins with room, by what is left and then by number, in blocks of up to ``2 * _BLOCK``.
+
+    A block knows sources and clusters that all of its bins hold, so the search passes
+    it at once where each of its bins conflicts: a source that is in most bins costs a
+    step a block and not one a bin.
+    """
+
+    def __init__(self, sources: list[int], clusters: list[int]):
+        self.sources, self.clusters = sources, clusters  # bitmaps of all bins
+        self.blocks: list[list[tuple[int, int]]] = []
+        self.last: list[tuple[int, int]] = []
+        self.shared: list[tuple[int, int]] = []  # at least this is in all bins of a block
+
+    def take(self, size: int, source: int, cluster: int) -> tuple[int, int] | None:
+        """Removes and returns the tightest bin that takes the piece."""
+        first = (size, -1)
+        for k in range(bisect_left(self.last, first), len(self.blocks)):
+            if self.shared[k][0] & source or self.shared[k][1] & cluster:
+                continue
+            block = self.blocks[k]
+            start = bisect_left(block, first)
+            for i in range(start, len(block)):
+                room, chosen = block[i]
+                if not (self.sources[chosen] & source or self.clusters[chosen] & cluster):
+                    del block[i]
+                    self._shrunk(k)
+                    return room, chosen
+            if not start:
+                self.shared[k] = self._held_by_all(block)
+        return None
+
+    def add(self, room: int, chosen: int) -> None:
+        entry = (room, chosen)
+        if not self.blocks:
+            self.blocks, self.last, self.shared = [[entry]], [entry], [(self.sources[chosen], self.clusters[chosen])]
+            return
+        k = min(bisect_left(self.last, entry), len(self.blocks) - 1)
+        block = self.blocks[k]
+        insort(block, entry)
+        self.last[k] = block[-1]
+        self.shared[k] = self.shared[k][0] & self.sources[chosen], self.shared[k][1] & self.clusters[chosen]
+        if len(block) > 2 * _BLOCK:
+            halves = [block[:_BLOCK], block[_BLOCK:]]
+            self.blocks[k : k + 1] = halves
+            self.last[k : k + 1] = [half[-1] for half in halves]
+            self.shared[k : k + 1] = [self._held_by_all(half) for half in halves]
+
+    def _held_by_all(self, block: list[tuple[int, int]]) -> tuple[int, int]:
+        sources = clusters = -1
+        for _, k in block:
+            sources &= self.sources[k]
+            clusters &= self.clusters[k]
+        return sources, clusters
+
+    def _shrunk(self, k: int) -> None:
+        if self.blocks[k]:
+            self.last[k] = self.blocks[k][-1]
+        else:
+            del self.blocks[k], self.last[k], self.shared[k]
+
+
 def best_fit(items: Iterable[tuple[int, object, object]], capacity: int) -> list[tuple[int, int]]:
     """(bin, slot) of each item (size, source, cluster), taken in the order given.
 
-    A null source or cluster conflicts with nothing.
+    A null source or cluster conflicts with nothing; one that comes once needs no bit.
     """
-    source_bit: dict[object, int] = {}
-    cluster_bit: dict[object, int] = {}
-    left: list[tuple[int, int]] = []  # (what is left, bin), ordered
+    items = list(items)
+    bits: list[dict[object, int]] = []
+    for column in (1, 2):
+        often = (x for x, n in Counter(item[column] for item in items).items() if n > 1 and x is not None)
+        bits.append({x: 1 << i for i, x in enumerate(often)})
     sources: list[int] = []
     clusters: list[int] = []
     slots: list[int] = []
+    bins = _OpenBins(sources, clusters)
     out = []
     for size, source, cluster in items:
-        s = 0 if source is None else 1 << source_bit.setdefault(source, len(source_bit))
-        c = 0 if cluster is None else 1 << cluster_bit.setdefault(cluster, len(cluster_bit))
-        at = bisect_left(left, (size, -1))
-        while at < len(left) and (sources[left[at][1]] & s or clusters[left[at][1]] & c):
-            at += 1
-        if at < len(left):
-            room, chosen = left.pop(at)
-        else:
-            room, chosen = capacity, len(slots)
+        s, c = bits[0].get(source, 0), bits[1].get(cluster, 0)
+        found = bins.take(size, s, c)
+        if found is None:
+            found = capacity, len(slots)
             sources.append(0)
             clusters.append(0)
             slots.append(0)
+        room, chosen = found
         out.append((chosen, slots[chosen]))
         sources[chosen] |= s
         clusters[chosen] |= c
         slots[chosen] += 1
         if room > size:
-            insort(left, (room - size, chosen))
+            bins.add(room - size, chosen)
     return out
 
 
