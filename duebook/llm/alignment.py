@@ -120,8 +120,11 @@ class Pair:
         self.a_lengths = np.array([len(x) for x in self.a_bytes])
         self.b_lengths = np.array([len(x) for x in self.b_bytes])
         self.identity = np.array([same.get(x, -1) if x else -1 for x in self.a_bytes])
-        self._a_text = [[f"{i}{end}" for i in range(self.n_a)] for end in ",|"]
-        self._b_text = [[f"{i}{end}" for i in range(self.n_b)] for end in ",;"]
+        # each id with what may follow it in a digest, as bytes
+        shown = [f"{i}{end}" for n, ends in ((self.n_a, ",|"), (self.n_b, ",;")) for end in ends for i in range(n)]
+        self.shown_sizes = np.array([len(x) for x in shown])
+        self.shown = np.array(shown, dtype=bytes).view(np.uint8).reshape(len(shown), -1)
+        self.is_shown = np.arange(self.shown.shape[1]) < self.shown_sizes[:, None]
 
     def tokens(self, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of both tokenizers; none for a text that either does not give back."""
@@ -155,16 +158,16 @@ class Pair:
         b_last[np.cumsum(x.b_sizes) - 1] = True
         place_a = np.arange(len(x.a)) + np.repeat(_firsts(x.b_sizes), x.a_sizes)
         place_b = np.arange(len(x.b)) + np.repeat(np.cumsum(x.a_sizes), x.b_sizes)
-        # ids in their order, each with the number of the list its text is in
+        # ids in their order, each with the number of its row in ``shown``
         code = np.empty(len(x.a) + len(x.b), np.int64)
         code[place_a] = x.a + a_last * self.n_a
         code[place_b] = 2 * self.n_a + x.b + b_last * self.n_b
-        names = [*chain.from_iterable(self._a_text), *chain.from_iterable(self._b_text)]
-        parts = list(map(names.__getitem__, code.tolist()))
-        out, at = [], 0
+        out, first = [], 0
         for n in (x.n_a + x.n_b).tolist():
-            out.append(hashlib.sha256("".join(parts[at : at + n])[:-1].encode()).hexdigest() if n else "")
-            at += n
+            mine = code[first : first + n]
+            text = self.shown[mine][self.is_shown[mine]][:-1]  # without the last semicolon
+            out.append(hashlib.sha256(text.tobytes()).hexdigest() if n else "")
+            first += n
         return out
 
 

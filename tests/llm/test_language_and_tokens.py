@@ -114,8 +114,8 @@ def test_conversations_against_all_repairs(spark, tmp_path, monkeypatch, piece):
 def test_long_conversation(spark, monkeypatch):
     """Backpointers in many pieces, also inside a run of equal rows."""
     monkeypatch.setattr(conversations, "PIECE", 7)
-    rows = [(1, k, ("user", "assistant")[k % 2], f"{k}.") for k in range(3000)]
-    rows += [(1, 17, "user", "again.")] * 50 + [(2, 0, "system", "S."), (2, 1, "assistant", "long " * 100_000 + ".")]
+    rows = [(1, k, ("user", "assistant")[k % 2], f"{k}.") for k in range(200)]
+    rows += [(1, 17, "user", "again.")] * 20 + [(2, 0, "system", "S."), (2, 1, "assistant", "long " * 100_000 + ".")]
     df = spark.createDataFrame(rows, TURNS).repartition(5).withColumns({"edits": F.lit("x"), "place": F.lit(1), "mark": F.lit(2)})
     edited = conversations.repair(df)
     got = {r.conv_id: r for r in conversations.report(edited).collect()}
