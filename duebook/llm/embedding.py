@@ -10,14 +10,16 @@ compared exactly, in double precision.
 Equal vectors are one node with a count, so copies cost nothing beyond it.  The
 number of rotations per bucket follows the logarithm of the number of nodes, rounded
 up, so there are at least as many buckets as nodes and a vector meets no more by
-chance as their number grows.  The number of tables follows the rotations, so that a
-pair at the least cosine is missed in about one of ``1 / MISSED`` cases.
+chance as their number grows.  The number of tables follows from a trial at the
+vectors' own dimension: random pairs at the least cosine are hashed with as many
+rotations, and a pair is to be missed by all tables in one of ``1 / MISSED`` cases.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,17 +33,11 @@ from .components import components
 COSINE = 0.95
 MISSED = 0.005
 LEAST_TABLES = 6
-# Measured share of pairs at cosine 0.95 that meet in a table of one rotation, with
-# probes, and what each further rotation leaves of it (64 dimensions).
-MEET, MEET_FURTHER = 0.95, 0.72
+# Pairs on which the share that meets in a table is measured, and tables used for it.
+TRIAL_PAIRS, TRIAL_TABLES = 512, 16
 SEED = 20261
 
 
-def tables_for(rotations: int) -> int:
-    meet = MEET * MEET_FURTHER ** (rotations - 1)
-    return max(LEAST_TABLES, math.ceil(math.log(MISSED) / math.log(1 - meet)))
-
-
 def hadamard(x: np.ndarray) -> np.ndarray:
     """Fast Walsh-Hadamard transform of the rows; their length is a power of two."""
     rows, width = x.shape
@@ -79,9 +75,29 @@ def bucket_codes(vectors: np.ndarray, tables: int, rotations: int, seed: int = S
     return out
 
 
-def _hashes(rotations: int):
-    tables = tables_for(rotations)
+@cache
+def meeting_share(dim: int, rotations: int, least: float) -> float:
+    """How many random pairs of ``dim`` dimensions at cosine ``least`` meet in a table, less
+    two standard errors of the trial."""
+    if dim < 2:
+        return 1.0
+    rng = np.random.default_rng([SEED, dim, rotations])
+    a, b = rng.standard_normal((2, TRIAL_PAIRS, dim))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b = least * a + math.sqrt(max(0.0, 1 - least * least)) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    of_a, of_b = (bucket_codes(x, TRIAL_TABLES, rotations, SEED + 1) for x in (a, b))
+    met = (of_a[:, :, :1] == of_b).any(axis=2) | (of_b[:, :, :1] == of_a).any(axis=2)
+    share = met.mean()
+    return max(0.01, share - 2 * math.sqrt(share * (1 - share) / met.size))
+
+
+def tables_for(dim: int, rotations: int, least: float = COSINE) -> int:
+    missed = 1 - meeting_share(dim, rotations, least)
+    return max(LEAST_TABLES, math.ceil(math.log(MISSED) / math.log(missed))) if missed > 0 else LEAST_TABLES
+
 
+def _hashes(rotations: int, tables: int):
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, dims = np.asarray(batch["node"]), np.asarray(batch["dim"])
@@ -128,10 +144,11 @@ def embedding_links(nodes: DataFrame, least: float = COSINE) -> DataFrame:
     vector) with a cosine of ``least`` or more, each once."""
     scratch = Scratch(nodes.sparkSession)
     wide = nodes.select("node", "embedding", F.size("embedding").alias("dim"))
-    n, dim = nodes.agg(F.count("*"), F.max(F.size("embedding"))).first()
+    n, small, dim = nodes.agg(F.count("*"), F.min(F.size("embedding")), F.max(F.size("embedding"))).first()
     width = 1 << max(0, ((dim or 1) - 1).bit_length())
     rotations = max(1, math.ceil(math.log(max(n, 2)) / math.log(2 * width)))
-    hashed = scratch.cut(wide.repartition(tasks(nodes.sparkSession), "node").mapInArrow(_hashes(rotations), "node long, dim int, tab int, bucket long, own boolean"))
+    tables = max(tables_for(d, rotations, least) for d in {small or 1, dim or 1})
+    hashed = scratch.cut(wide.repartition(tasks(nodes.sparkSession), "node").mapInArrow(_hashes(rotations, tables), "node long, dim int, tab int, bucket long, own boolean"))
     own = hashed.where("own").select("dim", "tab", "bucket", F.col("node").alias("p"))
     probe = hashed.select("dim", "tab", "bucket", F.col("node").alias("q"))
     met = own.join(probe, ["dim", "tab", "bucket"]).where("p <> q")

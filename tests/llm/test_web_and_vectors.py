@@ -1,5 +1,6 @@
 """Pages, archives, URLs, vectors and pieces."""
 
+import math
 import random
 import time
 from collections import Counter, defaultdict
@@ -296,6 +297,21 @@ def test_vectors_against_brute_force(spark):
     assert embedding.embedding_groups(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("dim", "nodes"), [(24, 10**4), (64, 10**6), (128, 10**6), (384, 10**7)])
+def test_tables_follow_the_dimension(dim, nodes):
+    """Few pairs just above the least cosine are missed, at any dimension."""
+    rotations = math.ceil(math.log(nodes) / math.log(2 * (1 << (dim - 1).bit_length())))
+    tables = embedding.tables_for(dim, rotations)
+    rng = np.random.default_rng(dim)
+    a, b = rng.standard_normal((2, 1500, dim))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b = 0.951 * a + math.sqrt(1 - 0.951**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
+    of_a, of_b = (embedding.bucket_codes(x, tables, rotations) for x in (a, b))
+    met = ((of_a[:, :, :1] == of_b).any(axis=2) | (of_b[:, :, :1] == of_a).any(axis=2)).any(axis=1)
+    assert met.mean() > 0.985 and tables <= 20
+
+
 def test_hadamard_is_orthogonal():
     h = embedding.hadamard(np.eye(8))
     assert (h @ h.T == 8 * np.eye(8)).all() and set(np.unique(h)) == {-1.0, 1.0}
