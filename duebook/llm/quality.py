@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, words
+from .common import Scratch, let, words
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -216,5 +216,6 @@ def quality_filter(docs: DataFrame) -> DataFrame:
     judged alike; an empty table gives an empty table.
     """
     rows = docs.select(F.struct("*").alias("row"), features(F.col("text")).alias("features"))
+    rows = Scratch(docs.sparkSession).cut(rows)  # the features are counted once
     model = fit_quality(rows)
     return rows.where(kept(model, F.col("features"))).select("row.*")
