@@ -1,5 +1,8 @@
 """What accounts look up, reduced to one row per key.
 
+Balances, customers, their aggregates and joint loans have hardly any key twice, so they
+are shuffled first and reduced once; a key that does repeat still gives one row.
+
 Each function returns a lookup for :func:`duebook.plans.lookups.attach` or
 attaches it.  Column prefixes say where a value comes from:
 
@@ -59,7 +62,7 @@ def retail_setting(tc08: DataFrame, column: str) -> Column:
 
 
 def master(t01: DataFrame, columns=MASTER_COLUMNS) -> DataFrame:
-    return one_row_per_key(t01, "nrp_customer", columns, "t01_")
+    return one_row_per_key(t01, "nrp_customer", columns, "t01_", repeats=False)
 
 
 def customer_aggregates(
@@ -98,7 +101,7 @@ def customer_aggregates(
         "cust_distressed": F.bool_or("_distressed"),
         "cust_pulling": F.bool_or("_pulling"),
     }
-    return one_row_per_key(marked, "nrp_customer", columns, "cust_", facts)
+    return one_row_per_key(marked, "nrp_customer", columns, "cust_", facts, repeats=False)
 
 
 def attach_master(df, t01, columns=MASTER_COLUMNS, hot: HotKeys | None = None) -> DataFrame:
@@ -123,6 +126,6 @@ def joint_counters(accounts: DataFrame, joint: DataFrame) -> DataFrame:
     """Counter of the joint loan by product; only joint accounts are shuffled for it."""
     members = accounts.filter(F.col("joint_id").isNotNull()).select("id_product", "joint_id")
     hot = HotKeys.find(members, "joint_id")
-    loans = one_row_per_key(joint, "joint_id", ["dpd_ho"], "joint_")
+    loans = one_row_per_key(joint, "joint_id", ["dpd_ho"], "joint_", repeats=False)
     found = attach(members, loans, "joint_id", "joint_key", "id_product", hot)
     return one_row_per_key(found, "id_product", ["joint_dpd_ho"], "").drop("found")

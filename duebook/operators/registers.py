@@ -169,7 +169,7 @@ def joint_products(
         (F.substring("facility_id", 10, 2), F.col("rel_kind")),
     ]
     by = (F.col("id_product"), F.col("rel_joint_group"))
-    matched = join_spread(held, groups, same, by, rows_per_task)
+    matched = join_spread(held, groups, same, by, rows_per_task, right_unique=True)
     return one_row_per_key(matched, "id_product", ["rel_joint_group"], "joined_")
 
 

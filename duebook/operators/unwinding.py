@@ -32,7 +32,7 @@ def attach_unwinding(accounts, t22, t20, ecl, days: CloseDays) -> DataFrame:
 
 
 def attach_allowance(df: DataFrame, ecl: DataFrame) -> DataFrame:
-    lookup = one_row_per_key(ecl, "id_product", ["overwritten_ecl"], "ecl_")
+    lookup = one_row_per_key(ecl, "id_product", ["overwritten_ecl"], "ecl_", repeats=False)
     return attach(df, lookup, "id_product", "ecl_key")
 
 

@@ -186,10 +186,12 @@ def join_spread(
     on: Sequence[tuple[Column, Column]],
     spread: tuple[Column, Column],
     rows_per_task: int = ROWS_PER_TASK,
+    right_unique: bool = False,
 ) -> DataFrame:
     """Inner join on equal expressions, NULL never equal, in tasks of bounded size.
 
-    Rows of both sides are counted by key, combined before the shuffle.  A key with more
+    Rows of both sides (of the left one, if the right one has a key once) are counted by
+    key, combined before the shuffle.  A key with more
     than ``rows_per_task`` rows on one side is dealt into parts of that size by a hash of
     the ``spread`` expression of that side, and the other side's rows of the key go to
     each part; where both sides have many, a task gets a part of each.  The keys dealt
@@ -201,7 +203,7 @@ def join_spread(
         given = {name: pair[side] for name, pair in zip(keys, on, strict=True)}
         known = reduce(and_, (F.col(k).isNotNull() for k in keys))
         sides.append(df.withColumns({**given, f"_by{side}": F.xxhash64(by)}).where(known))
-    hot = _parts_by_key(sides, keys, rows_per_task)
+    hot = _parts_by_key(sides, keys, rows_per_task, right_unique)
     if hot is None:
         joined = sides[0].join(sides[1], keys)
         return joined.drop(*keys, "_by0", "_by1")
@@ -215,11 +217,13 @@ def join_spread(
     return dealt[0].join(dealt[1], [*keys, "_part0", "_part1"]).drop(*keys, "_part0", "_part1")
 
 
-def _parts_by_key(sides: Sequence[DataFrame], keys: Sequence[str], rows_per_task: int) -> DataFrame | None:
+def _parts_by_key(
+    sides: Sequence[DataFrame], keys: Sequence[str], rows_per_task: int, right_unique: bool = False
+) -> DataFrame | None:
     """The number of parts of each side for the keys that need several; None for none."""
     each = [df.select(*keys, F.lit(i).alias("_side")) for i, df in enumerate(sides)]
-    many = each[0].union(each[1]).groupBy(*keys)
-    counts = many.agg(*(F.count(F.when(F.col("_side") == i, 1)).alias(f"_n{i}") for i in (0, 1)))
+    every = each[0] if right_unique else each[0].union(each[1])
+    counts = every.groupBy(*keys).agg(*(F.count(F.when(F.col("_side") == i, 1)).alias(f"_n{i}") for i in (0, 1)))
     while True:
         hot = counts.where(F.greatest("_n0", "_n1") > rows_per_task)
         parts = [F.ceil(F.col(f"_n{i}") / rows_per_task).alias(f"_parts{i}") for i in (0, 1)]

@@ -36,13 +36,10 @@ def fits(stored: T.DataType, declared: T.DataType) -> bool:
     return (kind, to) in {(T.FloatType, T.DoubleType), (T.DateType, T.TimestampType), (T.DateType, T.TimestampNTZType)}
 
 
-def reconcile(df: DataFrame, declared: T.StructType, table: str = "table") -> DataFrame:
-    """``df`` with exactly the declared columns: wider types, NULL where a column is missing.
-
-    Raises :class:`Narrowed` for a column that would lose values, and for a column that
-    is not declared, naming all of them at once.
-    """
-    found = {f.name.lower(): f for f in df.schema.fields}
+def check(stored: T.StructType, declared: T.StructType, table: str = "table") -> None:
+    """Raises :class:`Narrowed` for stored columns that would lose values and for those that
+    are not declared, naming all of them at once."""
+    found = {f.name.lower(): f for f in stored.fields}
     wrong = [
         f"{f.name}: {found[f.name.lower()].dataType.simpleString()} does not fit {f.dataType.simpleString()}"
         for f in declared.fields
@@ -52,9 +49,18 @@ def reconcile(df: DataFrame, declared: T.StructType, table: str = "table") -> Da
     wrong += [f"{f.name}: not declared" for name, f in found.items() if name not in known]
     if wrong:
         raise Narrowed(f"{table}: {'; '.join(wrong)}")
+
+
+def reconcile(df: DataFrame, declared: T.StructType, table: str = "table") -> DataFrame:
+    """``df`` with exactly the declared columns: wider types, NULL where a column is missing.
+
+    Raises :class:`Narrowed` where :func:`check` does.
+    """
+    check(df.schema, declared, table)
+    found = {f.name.lower(): f.name for f in df.schema.fields}
     return df.select(
         *[
-            (F.col(found[f.name.lower()].name) if f.name.lower() in found else F.lit(None)).cast(f.dataType).alias(f.name)
+            (F.col(found[f.name.lower()]) if f.name.lower() in found else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in declared.fields
         ]
     )

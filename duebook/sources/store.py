@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from duebook.plans.lineage import Files, Intermediate
 from duebook.plans.lookups import fits_in_broadcast, missing_from
 from duebook.plans.update import conform, merge_columns
-from duebook.sources.evolution import reconcile
+from duebook.sources.evolution import check, reconcile
 
 CHANGE = "_change"
 COMMITS, IDS = "_commits", "_ids"
@@ -213,13 +213,17 @@ class Store:
     def commit(self, *changes: Change) -> int:
         """Writes the files of all changes, then one record; returns its number.
 
-        Each table may change once.  Fails without a record if any change fails.
+        Each table may change once.  Fails without a record if any change fails, and before
+        any row is written if files that stay do not fit their table's declared schema.
         """
         names = [c.table for c in changes]
         if len(set(names)) < len(names):
             raise ValueError(f"several changes of one table: {names}")
         before = self.entries()
         after = [e for e in before if e.table not in names]
+        for table, schema in dict.fromkeys((e.table, e.schema) for e in before if e.table in names):
+            if not any(isinstance(c, ReplaceAll) and c.table == table for c in changes):
+                check(T.StructType.fromJson(json.loads(schema)), self.tables[table].schema, table)
         for change in changes:
             after += self._changed(change, [e for e in before if e.table == change.table])
         return self._record(after)

@@ -197,6 +197,12 @@ def test_a_history_of_two_schemas(spark, tmp_path):
     narrow = Store(spark, str(tmp_path), {"t": Stored(old, ("day",))})
     with pytest.raises(Narrowed, match="n: bigint does not fit int; more: not declared"):
         narrow.read("t")
+    before = len(files_of(store, "t"))
+    with pytest.raises(Narrowed):
+        narrow.commit(Add("t", spark.sql("select 3 as day, 'c' as k, 1 as n")))
+    assert len(files_of(store, "t")) == before
+    narrow.commit(ReplaceAll("t", spark.sql("select 3 as day, 'c' as k, 1 as n")))
+    assert narrow.read("t").count() == 1
 
 
 def test_reconcile_is_by_name(spark):
