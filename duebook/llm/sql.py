@@ -1,5 +1,7 @@
 """DuckDB SQL of the registered queries that SQL can express."""
 
+from .url_filter import DOMAIN_PATTERN, SUFFIX_PATTERN
+
 SPACE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 LINE_DEDUP = f"""
@@ -67,11 +69,11 @@ WITH cut AS (
   LEFT JOIN (SELECT doc_id, min(quality) AS quality FROM labels WHERE quality IS NOT NULL GROUP BY doc_id) l
     ON try_cast(regexp_extract(p.path, '^/[^/]*/([0-9]+)', 1) AS BIGINT) = l.doc_id
 ), hosts AS (
-  SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain,
+  SELECT host, regexp_extract(host, '{DOMAIN_PATTERN}', 1) AS domain,
          coalesce(sum(good), 0) AS good, count(good) AS n
   FROM outcomes GROUP BY host
 ), domains AS (
-  SELECT domain, string_split(domain, '.')[-1] AS suffix, sum(good) AS good, sum(n) AS n FROM hosts GROUP BY domain
+  SELECT domain, regexp_extract(domain, '{SUFFIX_PATTERN}', 1) AS suffix, sum(good) AS good, sum(n) AS n FROM hosts GROUP BY domain
 ), suffixes AS (
   SELECT suffix, sum(good) AS good, sum(n) AS n FROM domains GROUP BY suffix
 ), suffix_in AS (

