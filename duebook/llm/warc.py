@@ -9,6 +9,7 @@ are the revisit's.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,6 +21,9 @@ from .common import Scratch, tasks
 # Headers that a 304 response may update (RFC 9110, 15.4.5, and RFC 9111, 3.2).
 PERMITTED = ("age", "cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
 
+_READ = 1 << 16  # bytes unpacked at a time
+_BATCH = 1 << 25  # bytes of payload in a batch
+
 RECORD = (
     "record_id string, warc_type string, url string, date timestamp, status int, headers map<string,string>, payload binary"
 )
@@ -117,7 +121,7 @@ def resolve_revisits(records: DataFrame, carry: tuple[str, ...] = ("payload",))
 
 
 def parse_warc(data: bytes) -> Iterator[dict]:
-    """The records of an uncompressed archive; a broken tail ends them."""
+    """The records of uncompressed archive bytes; a broken tail ends them."""
     at = data.find(b"WARC/")
     while at >= 0:
         end = data.find(b"\r\n\r\n", at)
@@ -153,17 +157,51 @@ def _headers(lines: list[bytes]) -> dict[str, str]:
     return out
 
 
+def members(data: bytes) -> Iterator[bytes]:
+    """The bytes themselves, or those of each gzip member, of which an archive has one a
+    record; a broken member ends them."""
+    if not data.startswith(b"\x1f\x8b"):
+        yield data
+        return
+    view, at = memoryview(data), 0
+    while at < len(view):
+        member, parts = zlib.decompressobj(wbits=31), []
+        try:
+            while not member.eof and at < len(view):
+                parts.append(member.decompress(view[at : at + _READ]))
+                at += min(_READ, len(view) - at) - len(member.unused_data)
+        except zlib.error:
+            return
+        if not member.eof:
+            return
+        yield b"".join(parts)
+
+
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of uncompressed archive files, a file to a task."""
+    """Records of archive files, plain or gzip, a file (2 GB at most) to a task.
+
+    Records of a gzip file are unpacked one at a time, and rows are handed on whenever
+    their payloads reach ``_BATCH`` bytes.
+    """
     names = ("record_id", "warc_type", "url", "date", "status", "headers", "payload")
     kinds = (pa.string(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.map_(pa.string(), pa.string()), pa.binary())
 
+    def batch_of(rows: list[dict]) -> pa.RecordBatch:
+        arrays = [pa.array([list(r[n].items()) if n == "headers" else r[n] for r in rows], t) for n, t in zip(names, kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, list(names))
+
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch["content"]:
-                rows = list(parse_warc(content.as_py() or b""))
-                arrays = [pa.array([list(r[n].items()) if n == "headers" else r[n] for r in rows], t) for n, t in zip(names, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, list(names))
+                rows, size = [], 0
+                for member in members(content.as_py() or b""):
+                    for record in parse_warc(member):
+                        rows.append(record)
+                        size += len(record["payload"])
+                        if size > _BATCH:
+                            yield batch_of(rows)
+                            rows, size = [], 0
+                yield batch_of(rows)
 
     files = spark.read.format("binaryFile").load(path).select("content")
     raw = files.mapInArrow(parsed, RECORD.replace("date timestamp", "date string"))

@@ -1,5 +1,6 @@
 """Pages, archives, URLs, vectors and pieces."""
 
+import gzip
 import math
 import random
 import time
@@ -279,6 +280,21 @@ def test_archive_files(spark, tmp_path):
     assert rows[0].status == 200 and rows[0].url == "http://a.org/" and rows[0].record_id == "<urn:1>"
 
 
+def test_archive_files_in_gzip(spark, tmp_path, monkeypatch):
+    def record(i, size):
+        body = random.Random(i).randbytes(size)
+        return f"WARC/1.1\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:{i}>\r\nContent-Length: {len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n", body
+
+    made = [record(i, size) for i, size in enumerate((0, 10, 200_000, 65_536, 5))]
+    packed = b"".join(gzip.compress(raw) for raw, _ in made)
+    assert list(warc.members(packed)) == [raw for raw, _ in made]
+    assert len(list(warc.members(packed[:-30]))) == 4 and list(warc.members(b"")) == [b""]
+    (tmp_path / "a.warc.gz").write_bytes(packed + gzip.compress(made[1][0])[:-3])
+    (tmp_path / "b.warc.gz").write_bytes(gzip.compress(made[0][0] + made[1][0]))  # several records in a member
+    rows = warc.read_warc(spark, str(tmp_path)).collect()
+    assert sorted(bytes(r.payload) for r in rows) == sorted([b for _, b in made] + [made[0][1], made[1][1]])
+
+
 def test_vectors_against_brute_force(spark):
     rng = np.random.default_rng(5)
     rows = []
