@@ -22,6 +22,7 @@ import html as entities
 import re
 from collections import Counter
 from collections.abc import Iterator, Set
+from functools import lru_cache
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -156,8 +157,8 @@ class Page:
             place = self.parent[place]
         return found
 
-    def _place(self, above: str, name: str) -> str:
-        place = blake2b(f"{above}/{name}".encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+    def _below(self, above: str, name: str) -> str:
+        place = _place(above, name)
         self.parent[place] = above
         return place
 
@@ -222,7 +223,7 @@ class Page:
             if name in VOID:
                 continue
             kind = "" if name in INLINE else _NUMBER.sub("#", " ".join(sorted(x for found in _NAMES.findall(attributes) for x in "".join(found).split())))
-            place = here[1] if name in INLINE else self._place(here[1], name + f"[{kind}]" * bool(kind))
+            place = here[1] if name in INLINE else self._below(here[1], name + f"[{kind}]" * bool(kind))
             opens = (name in MAIN and not here[2]) or bool(re.search(r"role\s*=\s*[\"']?main\b", attributes))
             main = place if opens and (name == "article" or not here[3]) else here[3]
             never = here[2] or name in DROPPED or (name == "header" and not here[3])
@@ -252,6 +253,11 @@ class Page:
             yield here[1], here[2], here[4], here[3], said
 
 
+@lru_cache(1 << 16)  # the pages of a host have the same places
+def _place(above: str, name: str) -> str:
+    return blake2b(f"{above}/{name}".encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
 def _mark(text: str) -> str:
     """What stands for a text block among the tokens: 128 bits, so that no texts are moved."""
     return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
