@@ -157,7 +157,8 @@ class Store:
         """A table as of a commit, with its declared columns.
 
         ``only`` picks slices by their values before any file is listed.  Files of older
-        schemas are widened; a column that became narrower is an error.
+        schemas are widened; a column that became narrower is an error.  A table placed by
+        a column has a name in the session's catalog until :meth:`forget`.
         """
         spec = self.tables[table]
         entries = self._entries_of(table, version, only)
