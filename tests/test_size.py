@@ -1,10 +1,17 @@
 """What grows with the accounts: files, parts and the rows that are shuffled."""
 
 import datetime
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from checks.registry import Context
+from duebook.config import INTENDED, OBSERVED
+from duebook.operators import contagion
+from duebook.plans import close as plans
+from duebook.plans import lineage
+from duebook.plans.lookups import HotKeys
 from duebook.sources import history
 
 
@@ -47,3 +54,59 @@ def test_files_grow_with_the_accounts(spark, folder, monkeypatch):
     rows = store.read("t14_unwinding", only={"working_day": datetime.date(2024, 1, 29)})
     given = bank["t14_unwinding"].filter("working_day = date '2024-01-29'")
     assert same(rows.select("id_product", "unwinding_mtd_lcy"), given.select("id_product", "unwinding_mtd_lcy"))
+
+
+def test_parts_grow_with_the_accounts(spark, folder, monkeypatch):
+    bank = Context(spark, folder)
+    assert plans._dealt(bank.today, bank.close()) == (4, True)
+    monkeypatch.setattr(plans, "WIDE_ROWS_PER_TASK", 100)
+    assert plans._dealt(bank.today, bank.close()) == (7, True)
+    assert plans._dealt(bank.today.filter("id_product is not null"), bank.close())[1] is False
+
+
+def wide_exchanges(df, capsys):
+    df.explain(mode="formatted")
+    sizes = re.findall(r"^\(\d+\) Exchange.*\n(?:Input|Output) \[(\d+)\]", capsys.readouterr().out, re.M)
+    assert sizes
+    return sum(int(n) > 60 for n in sizes)
+
+
+@pytest.mark.parametrize("hot", [HotKeys("customer_number"), HotKeys("customer_number", ("000000004",), True, 5)])
+def test_customer_lookups_leave_the_accounts_in_place(spark, folder, hot, capsys):
+    """Repeated products, and accounts without a product or a customer, get what they got."""
+    bank = Context(spark, folder)
+    close = plans.Close.of(bank.staged, bank.days, hot=hot)
+    accounts = bank.today
+    assert accounts.filter("id_product is null and customer_number is not null").count() > 5
+    df = plans.attach_by_product(plans.by_product(accounts), accounts, close)
+    plain = plans._with_customer_lookups(df, close).drop(hot.salt_column)
+    narrow = plans.attach_by_customer(df, accounts, close, loose=True).drop(hot.salt_column)
+    assert same(narrow, plain)
+    with lineage.settings(spark, {**lineage.WIDE_ROWS, "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        named = plans.attach_by_customer(df, accounts, close)
+        assert wide_exchanges(named.filter("true"), capsys) == 1
+
+
+@pytest.mark.parametrize("mode", [OBSERVED, INTENDED])
+def test_contagion_joins_only_what_it_can_change(spark, folder, mode):
+    bank = Context(spark, folder)
+    close = bank.close(mode)
+    df = plans.attach_by_product(plans.by_product(bank.today), bank.today, close)
+    df = plans.attach_by_customer(df, bank.today, close, loose=True)
+    df = close.keep(plans.detection_and_probation(df, close), "before")
+    mixed = F.pmod(F.xxhash64("account_number", "customer_number"), F.lit(12))
+    df = df.withColumns(
+        {
+            "default_indicator": F.when(mixed < 4, "1").when(mixed > 4, "0"),
+            "default_reason": F.lit(",DPD"),
+            "p_default_end_date": F.when(mixed % 3 > 0, 20230301),
+        }
+    )
+    sources, among = contagion.default_sources(df), contagion.exposure_matters(mode)
+    every = contagion.contagion_steps(df, sources, close.days, mode)
+    some = contagion.contagion_steps(df, sources, close.days, mode, among=among)
+    assert same(some, every)
+    assert 0 < df.filter(among).count() < df.filter(contagion.can_be_infected()).count()
+    exposed = contagion.attach_contagion(df, sources).filter("exposed").filter(among)
+    assert exposed.count() > 0
+    close.clear()
