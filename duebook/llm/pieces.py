@@ -34,6 +34,8 @@ _RUN = re.compile(r" *[^ ]+| +", re.DOTALL)
 _AT_ONCE = 1 << 20  # characters
 _KEPT = 1 << 22  # edges of known runs
 _NONE = -(1 << 31)
+_NOT_YET = -1
+_GUIDE = np.uint64(48)
 
 
 def vocabulary(path: str = MODEL) -> tuple[list[bytes], list[tuple[str, int]], list[int]]:
@@ -66,7 +68,8 @@ class Lattice:
 
     A piece's probability falls with its place in the vocabulary, as in Zipf's law.
     The edges that end at a position are stored as cumulative probabilities after
-    the position's number, so one search in ``keys`` draws an edge for any position.
+    the position's number; an edge is drawn by walking from the position's first one.
+    Characters are followed only as far as some piece begins with them.
     The forward pass works in logarithms and sums edges for each position alone, so runs
     of any length and weight have their sums and none bears on another's.
     """
@@ -76,21 +79,16 @@ class Lattice:
         self.of_byte = of_byte
         self.extra: dict[str, int] = {}  # characters of several bytes, numbered below zero
         self.extra_ids: list[list[int]] = []
-        self.by_length = []
         self.longest = max((len(text) for text, _ in pieces), default=1)
-        for length in range(1, self.longest + 1):
-            here = [(text, i, -alpha * np.log(place + 3.0)) for place, (text, i) in enumerate(pieces) if len(text) == length]
-            hashes = _hashes(_points("".join(x[0] for x in here)), length)[::length] if here else np.zeros(0, np.uint64)
-            order = np.argsort(hashes)
-            weights, ids = np.array([x[2] for x in here]), np.array([x[1] for x in here], dtype=np.int64)
-            self.by_length.append((hashes[order], weights[order], ids[order]))
+        self.by_length = _prefixes(pieces, self.longest, alpha)
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number = _Numbers()
         self.chars = 0
         self.tables = (np.zeros(0), np.zeros(0, np.uint8), np.zeros(0, np.int32))
-        self.starts = np.zeros(0, np.int64)
+        self.first = np.zeros(0, np.int64)  # the first edge that ends at each position
+        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _bytes(self, char: str) -> tuple[float, int]:
         ids = [self.of_byte[b] for b in char.encode()]
@@ -101,32 +99,28 @@ class Lattice:
             self.extra_ids.append(ids)
         return self.byte_weight * len(ids), -1 - self.extra[char]
 
-    def _edges(self, points: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(end, length, weight, id) of all edges, by end; ``at`` is each character's
-        place in its run, from one."""
-        ends, lengths, weights, ids = [], [], [], []
-        for length, (known, weight, of) in enumerate(self.by_length, 1):
-            end = np.flatnonzero(at >= length)
-            if not len(end) or not len(known):
-                continue
-            hashes = _hashes(points, length)[end - (length - 1)]
-            found = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-            same = known[found] == hashes
-            ends.append(end[same])
-            lengths.append(np.full(len(ends[-1]), length, dtype=np.uint8))
-            weights.append(weight[found[same]])
-            ids.append(of[found[same]])
+    def _edges(self, points: np.ndarray, left: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """(end, weight, id) of all edges of each length from one; ``left`` is the number of
+        characters from each one to the end of its run."""
+        begin, hashes = np.arange(len(points)), np.zeros(len(points), np.uint64)
+        for length, (known, guide, weight, of) in enumerate(self.by_length, 1):
+            end = begin + (length - 1)
+            hashes = _longer(hashes, points[end])
+            found = guide[(hashes >> _GUIDE).astype(np.int64)]
+            lower = np.flatnonzero(known[found] < hashes)
+            while len(lower):
+                found[lower] += 1
+                lower = lower[known[found[lower]] < hashes[lower]]
+            ids = np.where(known[found] == hashes, of[found], _NONE)
+            piece = np.flatnonzero(ids >= 0)
+            yield end[piece], weight[found[piece]], ids[piece]
             if length == 1:
-                end = end[~same]
-                other, which = np.unique(points[end], return_inverse=True)
+                alone = np.flatnonzero(ids < 0)
+                other, which = np.unique(points[alone], return_inverse=True)
                 spelled = [self._bytes(chr(c)) for c in other.tolist()]
-                ends.append(end)
-                lengths.append(np.full(len(end), 1, dtype=np.uint8))
-                weights.append(np.array([x[0] for x in spelled])[which] if len(end) else np.zeros(0))
-                ids.append(np.array([x[1] for x in spelled], dtype=np.int64)[which] if len(end) else np.zeros(0, np.int64))
-        end = np.concatenate(ends)
-        order = np.argsort(end, kind="stable")
-        return end[order], np.concatenate(lengths)[order], np.concatenate(weights)[order], np.concatenate(ids)[order].astype(np.int32)
+                yield alone, np.array([x[0] for x in spelled])[which] if spelled else np.zeros(0), np.array([x[1] for x in spelled], dtype=np.int32)[which]
+            more = np.flatnonzero((ids != _NONE) & (left[begin] > length))
+            begin, hashes = begin[more], hashes[more]
 
     def learn(self, runs: list[str]) -> None:
         """The forward pass of runs not known yet."""
@@ -135,34 +129,54 @@ class Lattice:
         starts = np.cumsum(sizes) - sizes
         n = len(points)
         at = np.arange(n) - np.repeat(starts, sizes) + 1
-        end, length, weight, ids = self._edges(points, at)
-        place = at[end]
-        source = np.where(place == length, n, end - length)
-        reach = np.zeros(n + 1)
+        edges = list(self._edges(points, np.repeat(sizes, sizes) - at + 1))
+        per_end = np.zeros(n, np.int64)
+        for end, _, _ in edges:
+            per_end[end] += 1
+        # edges by the place where they end, then by end and length
         last = int(at.max())
-        order = np.argsort(place.astype(np.uint16) if last < 1 << 16 else place, kind="stable")
-        edges = np.cumsum(np.bincount(place, minlength=last + 1))
-        sums = np.zeros(len(end))
-        for j in range(1, last + 1):
-            here = order[edges[j - 1] : edges[j]]
-            mine = end[here]
-            first = np.flatnonzero(np.diff(mine, prepend=-1))
-            each = np.diff(np.append(first, len(here)))
-            value = weight[here] + reach[source[here]]
+        order = np.argsort(at.astype(np.uint16) if last < 1 << 16 else at, kind="stable")
+        each = per_end[order]
+        heads = np.cumsum(each) - each
+        begin = np.empty(n, np.int64)
+        begin[order] = heads
+        total = int(per_end.sum())
+        weight, source, ids, length = np.empty(total), np.empty(total, np.int64), np.empty(total, np.int32), np.empty(total, np.uint8)
+        cursor, step = begin.copy(), 0
+        for k, (end, weights, of) in enumerate(edges):
+            step += k != 1  # characters spelled in bytes come second, also of length one
+            to = cursor[end]
+            cursor[end] += 1
+            weight[to], ids[to], length[to] = weights, of, step
+            source[to] = np.where(at[end] == step, n, end - step)
+        reach, sums = np.zeros(n + 1), np.empty(total)
+        nodes = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=last + 1)[1:])]).tolist()
+        bounds = np.append(heads, total)
+        borders = bounds[nodes].tolist()
+        for a, b, e, f in zip(nodes, nodes[1:], borders, borders[1:]):
+            first, many = heads[a:b] - e, each[a:b]
+            value = weight[e:f] + reach[source[e:f]]
             most = np.maximum.reduceat(value, first)
-            value = np.exp(value - np.repeat(most, each))
-            total = np.add.reduceat(value, first)
-            reach[mine[first]] = most + np.log(total)
-            sums[here] = value / np.repeat(total, each)
-        first = np.flatnonzero(np.diff(end, prepend=-1))
-        each = np.diff(np.append(first, len(end)))
-        for k in range(1, int(each.max())):
-            more = first[each > k] + k
-            sums[more] += sums[more - 1]
-        keys = end + np.minimum(sums, 1.0)
-        keys[np.append(first[1:], len(end)) - 1] = end[first] + 1.0
-        self.starts = np.concatenate([self.starts, self.chars + starts])
-        self.tables = tuple(np.concatenate(x) for x in zip(self.tables, (keys + self.chars, length, ids), strict=True))
+            value = np.exp(value - np.repeat(most, many))
+            whole = np.add.reduceat(value, first)
+            reach[order[a:b]] = most + np.log(whole)
+            sums[e:f] = value / np.repeat(whole, many)
+        more = np.flatnonzero(each > 1)
+        k = 1
+        while len(more):
+            to = heads[more] + k
+            sums[to] += sums[to - 1]
+            k += 1
+            more = more[each[more] > k]
+        # the same edges by end and length
+        ends = np.cumsum(per_end)
+        first = ends - per_end
+        moved = np.arange(total) + np.repeat(begin - first, per_end)
+        keys = np.repeat(np.arange(n), per_end) + np.minimum(sums[moved], 1.0)
+        keys[ends - 1] = np.arange(n) + 1.0
+        self.first = np.concatenate([self.first, len(self.tables[0]) + first])
+        self.starts, self.sizes = np.concatenate([self.starts, self.chars + starts]), np.concatenate([self.sizes, sizes])
+        self.tables = tuple(np.concatenate(x) for x in zip(self.tables, (keys + self.chars, length[moved], ids[moved]), strict=True))
         self.chars += n
 
     def all(self, texts: pa.Array, keys: pa.Array, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -188,13 +202,13 @@ class Lattice:
         if len(self.tables[0]) > _KEPT:
             self._forget()
         number, known = self.number, len(self.number)
-        which = np.fromiter((number.setdefault(r, len(number)) for r in flat), dtype=np.int64, count=len(flat))
+        which = np.fromiter(map(number.__getitem__, flat), dtype=np.int64, count=len(flat))
         if len(number) > known:
             self.learn(list(islice(number, known, None)))
         keys, lengths, ids = self.tables
         per_text = np.fromiter(map(len, runs), dtype=np.int64, count=len(runs))
         text_of = np.repeat(np.arange(len(runs)), per_text)
-        size = np.fromiter(map(len, flat), dtype=np.int64, count=len(flat))
+        size = self.sizes[which]
         ends = np.cumsum(size)
         text_start = np.concatenate([[0], ends])[np.cumsum(per_text) - per_text]
         slots = np.full(int(ends[-1]) + 1, _NONE, dtype=np.int32)
@@ -202,7 +216,11 @@ class Lattice:
         node, place, left, seed = self.starts[which] + size - 1, ends.copy(), size, seeds[text_of]
         origin = text_start[text_of]
         while len(node):
-            edge = np.searchsorted(keys, node + _uniform(seed, place - origin), side="right")
+            drawn, edge = node + _uniform(seed, place - origin), self.first[node]
+            later = np.flatnonzero(keys[edge] <= drawn)
+            while len(later):
+                edge[later] += 1
+                later = later[keys[edge[later]] <= drawn[later]]
             slots[place] = ids[edge]
             step = lengths[edge].astype(np.int64)
             left = left - step
@@ -221,6 +239,36 @@ class Lattice:
         return found, counts.astype(np.int64)
 
 
+class _Numbers(dict):
+    """Numbers runs as they come."""
+
+    def __missing__(self, run: str) -> int:
+        self[run] = found = len(self)
+        return found
+
+
+def _prefixes(pieces: list[tuple[str, int]], longest: int, alpha: float) -> list[tuple[np.ndarray, ...]]:
+    """For each length: hashes of the beginnings of pieces, sorted and closed by the largest
+    number; where those with given first bits begin; weight and id of each, which is
+    ``_NOT_YET`` unless a piece ends there."""
+    sizes = np.array([len(text) for text, _ in pieces], dtype=np.int64)
+    starts = np.cumsum(sizes) - sizes
+    points, ids = _points("".join(text for text, _ in pieces)), np.array([i for _, i in pieces], dtype=np.int32)
+    weights = -alpha * np.log(np.arange(len(pieces)) + 3.0)
+    hashes, out = np.zeros(len(pieces), np.uint64), []
+    for length in range(1, longest + 1):
+        long = np.flatnonzero(sizes >= length)
+        hashes[long] = _longer(hashes[long], points[starts[long] + length - 1])
+        known = np.unique(hashes[long])
+        weight, of = np.zeros(len(known) + 1), np.full(len(known) + 1, _NOT_YET, dtype=np.int32)
+        whole = np.flatnonzero(sizes == length)
+        place = np.searchsorted(known, hashes[whole])
+        weight[place], of[place] = weights[whole], ids[whole]
+        guide = np.searchsorted(known, np.arange(1 << 16, dtype=np.uint64) << _GUIDE).astype(np.int32)
+        out.append((np.append(known, ~np.uint64(0)), guide, weight, of))
+    return out
+
+
 def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
 
@@ -228,13 +276,18 @@ def _points(text: str) -> np.ndarray:
 def _hashes(points: np.ndarray, length: int) -> np.ndarray:
     """A hash of every ``length`` consecutive code points, modulo 2 ** 64."""
     out = np.zeros(max(0, len(points) - length + 1), dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        for k in range(length):
-            out = (out + points[k : k + len(out)] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-            out ^= out >> np.uint64(29)
+    for k in range(length):
+        out = _longer(out, points[k : k + len(out)])
     return out
 
 
+def _longer(hashes: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """The hashes of texts with one more code point."""
+    with np.errstate(over="ignore"):
+        out = (hashes + points + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    return out ^ (out >> np.uint64(29))
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     """SplitMix64's finalizer."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

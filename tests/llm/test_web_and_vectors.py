@@ -399,6 +399,53 @@ def test_runs_of_characters_without_pieces_leave_others_alone(spark):
     assert not np.isnan(lattice.tables[0]).any() and (np.diff(lattice.tables[0]) >= 0).all()
 
 
+def test_forward_pass_follows_only_beginnings_of_pieces(monkeypatch):
+    """The longest piece has 16 characters and more; few beginnings go on that far."""
+    _, texts, of_byte = pieces.vocabulary()
+    lattice, hashed = pieces.Lattice(texts, of_byte, pieces.ALPHA), []
+    for name in ("_hashes", "_longer"):
+        work = getattr(pieces, name, None)
+        times = (lambda _: 1) if name == "_longer" else (lambda length: length)
+        counted = lambda x, y, work=work, times=times: hashed.append(len(x) * times(y)) or work(x, y)
+        monkeypatch.setattr(pieces, name, counted, raising=False)
+    words = [" " + "".join(w) for w in product("etaq", repeat=6)]
+    lattice.learn(words)
+    assert lattice.longest >= 16 and sum(hashed) <= 4 * 7 * len(words)
+
+
+def test_edges_match_a_plain_forward_pass():
+    _, texts, of_byte = pieces.vocabulary()
+    lattice, weights = pieces.Lattice(texts, of_byte, pieces.ALPHA), {t: (k, i) for k, (t, i) in enumerate(texts)}
+    runs = [" the", " nation", " thathing", "  a", "a", "日本語", " x\U00010330\u2581é", "   ", " " + "at" * 40, "\x00\n\t"]
+    lattice.learn(runs[:4])
+    lattice.learn(runs[4:])
+    keys, lengths, ids = (x.tolist() for x in lattice.tables)
+    node = edge = 0
+    for run in runs:
+        reach = [1.0]
+        for end in range(1, len(run) + 1):
+            here = []
+            for length in range(1, min(end, lattice.longest) + 1):
+                char = run[end - length : end]
+                if char in weights:
+                    place, known = weights[char]
+                    here.append((reach[end - length] * (place + 3.0) ** -pieces.ALPHA, length, known))
+                elif length == 1:
+                    of = [of_byte[b] for b in char.encode()]
+                    here.append((reach[end - 1] * (len(texts) + 3.0) ** (-pieces.ALPHA * len(of)), 1, of))
+            reach.append(sum(x[0] for x in here))
+            assert lattice.first[node] == edge
+            below = 0.0
+            for value, length, known in here:
+                below += value / reach[-1]
+                spelled = lattice.extra_ids[-1 - ids[edge]] if ids[edge] < 0 else ids[edge]
+                assert spelled == (known[0] if isinstance(known, list) and len(known) == 1 else known)
+                assert lengths[edge] == length and abs(keys[edge] - node - below) < 1e-9
+                edge += 1
+            node += 1
+    assert edge == len(keys) and node == len(lattice.first)
+
+
 @pytest.mark.parametrize("length", [1, 5, 16])
 def test_hashes_follow_code_points(length):
     a, b = pieces._points("xyzabcdefghijklmnopq"), pieces._points("abcdefghijklmnopqrst")
