@@ -1,7 +1,10 @@
 """What grows with the accounts: files, parts and the rows that are shuffled."""
 
 import datetime
+import glob
+import os
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -110,3 +113,52 @@ def test_contagion_joins_only_what_it_can_change(spark, folder, mode):
     exposed = contagion.attach_contagion(df, sources).filter("exposed").filter(among)
     assert exposed.count() > 0
     close.clear()
+
+
+def shuffled(spark):
+    """Shuffle files on the disks of the session."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {name for folder in folders for _, _, names in os.walk(folder.getPath()) for name in names if name.startswith("shuffle_")}
+
+
+def gone(spark, before):
+    """Whether all that was shuffled since is deleted, which happens in the background."""
+    for _ in range(50):
+        if not shuffled(spark) - before:
+            return True
+        time.sleep(0.1)
+    return False
+
+
+def test_a_write_leaves_no_shuffled_rows(spark, folder):
+    bank = Context(spark, folder)
+    store, rows = bank.store("t14_unwinding"), bank["t14_unwinding"]
+    dealt = rows.repartition(3, "id_product")
+    before = shuffled(spark)
+    dealt.write.format("noop").mode("overwrite").save()
+    assert shuffled(spark) - before  # as Spark does by itself
+    before, keep = shuffled(spark), lineage.Intermediate()
+    kept = keep(dealt, "rows")
+    assert {e.buckets for e in store._files("t14_unwinding", rows)} == {store.tables["t14_unwinding"].buckets}
+    store._files("t18_cc_payment_schedule", bank["t18_cc_payment_schedule"].repartition(3, "id_product"))
+    assert gone(spark, before)
+    assert same(kept, rows)
+    keep.clear()
+
+
+@pytest.mark.parametrize("run", [None, "a day"])
+def test_the_closed_accounts_replace_the_table_before_them(spark, folder, run):
+    """A close that may be resumed keeps both, as the next session looks for them."""
+    bank = Context(spark, folder)
+    close = bank.close(run=run)
+    other = close.keep(bank.today.select("id_product"), "before-contagion-of-another-result")
+    outputs = plans.daily_close(close, F.lit("2024-01-30 18:00:00").cast("timestamp"))
+    names = [re.sub("-[0-9a-f]{32}$", "", path.rpartition("/")[2]) for _, path in close.keep.paths]
+    assert names == ["before-contagion-of-another-result", *(["before-contagion"] if run else []), "closed-accounts"]
+    top = close.keep.paths[-1][1].rpartition("/")[0]
+    kept = {os.path.basename(p) for p in glob.glob(f"{top.removeprefix('file://')}/*before-contagion*")}
+    assert len([name for name in kept if "another" not in name]) == (1 if run else 0)
+    assert outputs["accounts"].count() == bank.today.count() == other.count() > 0
+    assert outputs["t17_dpd_credit_cards"].count() == 2 * bank.today.count()
+    close.clear()
+    assert not glob.glob(f"{top.removeprefix('file://')}/*before-contagion*")

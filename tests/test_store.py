@@ -110,6 +110,34 @@ def test_ids_are_reserved_before_rows_are_written(spark, store, monkeypatch):
         store.files.create(f"{store.root}/_ids/t/{8:020d}-{5007:020d}")
 
 
+def test_placed_rows_with_ids_are_shuffled_once(spark, store, monkeypatch):
+    """The files with ids are written from files that lie in the buckets already."""
+    plans_written = []
+    files = Store._files
+
+    def watched(self, table, df, lie=False):
+        plans_written.append((lie, df))
+        return files(self, table, df, lie)
+
+    monkeypatch.setattr(Store, "_files", watched)
+    odd = rows(spark, 40, DAY, "CC").withColumn("id_product", F.expr("case when v % 3 > 0 then concat('p', v % 7) end"))
+    given = rows(spark, 900, BEFORE, "CC").union(rows(spark, 500, DAY, "LN")).union(odd).union(odd).repartition(6)
+    store.commit(Add("t", given))
+    assert [lie for lie, _ in plans_written] == [False, True]
+    monkeypatch.undo()
+    found = store.read("t")
+    assert "Bucketed: true" in plan(found.join(found.groupBy("id_product").count(), "id_product"))[1]
+    assert sorted(r.autoid for r in found.select("autoid").collect()) == list(range(1, 1481))
+    columns = ["id_product", "working_day", "product_group", "v"]
+    want = given.withColumn("working_day", F.col("working_day").cast("date")).select(columns)
+    assert found.select(columns).exceptAll(want).isEmpty() and want.exceptAll(found.select(columns)).isEmpty()
+    named = {f"{store.root}/{e.path.split('/_change=')[0]}/_change={e.path.split('_change=')[1].split('/')[0]}" for e in store.entries()}
+    assert {f"{store.root}/t/{name}" for name in os.listdir(f"{store.root}/t")} == named
+    for entry in store.entries():  # one file a bucket, as before
+        at = [int(name.partition(".")[0].rpartition("_")[2]) for name in store.files.data_files(f"{store.root}/{entry.path}")]
+        assert len(at) == len(set(at)) and set(at) <= set(range(4))
+
+
 def test_ids_follow_those_of_a_table_without_a_ledger(spark, store):
     plain = Store(spark, store.root, {"t": Stored(ROWS, ("working_day", "product_group"))})
     plain.commit(Add("t", rows(spark, 3, BEFORE, "CC").withColumn("autoid", F.lit(41).cast("long"))))
