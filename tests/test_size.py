@@ -162,3 +162,24 @@ def test_the_closed_accounts_replace_the_table_before_them(spark, folder, run):
     assert outputs["t17_dpd_credit_cards"].count() == 2 * bank.today.count()
     close.clear()
     assert not glob.glob(f"{top.removeprefix('file://')}/*before-contagion*")
+
+
+def test_a_published_close_leaves_its_store_alone(spark, folder):
+    """What remains are the files that records name, and all rows of the history."""
+    bank = Context(spark, folder)
+    top = f"{lineage.shared_folder(spark)}".removeprefix("file://")
+    kept, stores = (lambda: set(glob.glob(f"{top}/{spark.sparkContext.applicationId}/*"))), set(glob.glob(f"{top}/store-*"))
+    before = kept()
+    found = bank.close_of_a_store("t17_dpd_credit_cards")
+    assert kept() == before
+    made = set(glob.glob(f"{top}/store-*")) - stores
+    assert len(made) == 1
+    store = history.history_store(spark, made.pop(), bank.buckets)
+    changes = {"/".join(e.path.split("/")[:2]) for n in (1, 2) for e in store.entries(n)}
+    assert {f"{table}/{name}" for table in store.tables for name in store.files.names(f"{store.root}/{table}")} == changes
+    day = F.col("working_day") == datetime.date(2024, 1, 30)
+    assert found.filter(day).count() == 2 * bank.today.count()
+    ids = found.agg(F.count("*"), F.count("autoid"), F.countDistinct("autoid"), F.max("autoid")).first()
+    assert len(set(ids)) == 1  # no gaps
+    given = bank["t17_dpd_credit_cards"].filter(~day).drop("autoid")
+    assert same(found.filter(~day).select(given.columns), given)
